@@ -48,7 +48,7 @@ def parse_tag_value(type_letter, text) -> Column:
     parts = F.split(v, ",", -1)
     at = F.get(parts, 0)
     elems = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    ints = F.transform(elems, lambda x: F.expr("try_cast(trim(x) AS BIGINT)") if False else x.try_cast("bigint"))
+    ints = F.transform(elems, lambda x: x.try_cast("bigint"))
     floats = F.transform(elems, lambda x: x.try_cast("float"))
     lo = F.lit(None).cast("bigint")
     hi = F.lit(None).cast("bigint")
@@ -117,7 +117,7 @@ def format_tags(tags) -> Column:
 # --- TG3: typed getters ---------------------------------------------------------------
 
 def tag_int(tags, name: str, strict: bool = False) -> Column:
-    v = F.element_at(col(tags), F.lit(name)) if False else col(tags).getItem(name)
+    v = col(tags).getItem(name)
     ok = v.type == "i"
     if strict:
         return F.when(v.isNull(), F.lit(None).cast("bigint")).when(ok, v.i).otherwise(
