@@ -70,13 +70,17 @@ def with_mate(reads: DataFrame, key: str = "read_id") -> DataFrame:
 
 def assign_partitions(reads: DataFrame, plan: DataFrame, region: str = "region",
                       repartition: bool = True) -> DataFrame:
-    """JN5: region -> partition id from a balance plan (AG2; one row per region), then
-    co-locate each partition group with ``repartition(n, partition)``."""
+    """JN5: region -> partition group from a balance plan (AG2; one row per region).
+
+    With ``repartition`` the rows are laid out by range on (partition, ref_index, pos):
+    each group occupies a contiguous run of tasks in group order, and a large group is
+    split over several tasks instead of being funnelled into one task per group (a hash
+    repartition on the group id would leave only as many busy tasks as groups)."""
     p = plan.select(F.col(region).alias("_region"), F.col("partition"))
     out = reads.join(F.broadcast(p), F.col(region) == F.col("_region")).drop("_region")
     if repartition:
-        n = reads.sparkSession.conf.get("spark.sql.shuffle.partitions")
-        out = out.repartition(int(n), "partition")
+        n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, "partition", "ref_index", "pos")
     return out
 
 

@@ -304,8 +304,9 @@ def duplicate_metrics(spark, sf_dir):
 
 @register("call_variants")
 def call_variants(spark, sf_dir):
-    """PL4 end to end over the adapter reads, targets, reference and known sites (rows-only
-    check: the stages are each oracle-checked above)."""
-    out = PL.call_variants(A.reads(spark, sf_dir), A.sequences(spark), A.targets(spark, sf_dir),
+    """PL4 end to end over the adapter reads (positions folded into 1..2000 as for the
+    pileup, so that sites have depth; every read is processed), targets, reference and
+    known sites. Rows-only check: the stages are each oracle-checked above."""
+    out = PL.call_variants(_folded_reads(spark, sf_dir), A.sequences(spark), A.targets(spark, sf_dir),
                            A.reference_chunks(spark), A.known_sites(spark, sf_dir))
     return out["calls"].select("chrom_no", "chrom", "pos", "ref", "alt", "qual", "sample")

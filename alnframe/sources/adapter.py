@@ -24,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A big input already arrives in many splits and is returned unchanged (no shuffle). A
+    file with a single row group is one split however many rows it has, and would run the
+    whole per-read expansion (bases, pieces, explodes) in one task; such a scan is spread
+    round-robin over the cores. Spark sorts before a round-robin exchange, so a retried task
+    gets the same rows."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
@@ -54,8 +66,8 @@ def sequences(spark: SparkSession) -> DataFrame:
 
 def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One read per lineitem row in the canonical alignments schema plus ``read_id``."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"))
     k = F.concat(_s("l_orderkey"), F.lit("|"), _s("l_linenumber"), F.lit("|"), _s("l_partkey"), F.lit("|"),
                  _s("l_suppkey"))
     flag = (F.lit(3)
@@ -90,7 +102,7 @@ def reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One 500-base target per order; ``s``/``e`` are 1-based inclusive."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     h = (F.col("o_orderkey") * 104729) % 1000000
     return o.select((F.col("o_custkey") % 25).cast("int").alias("ref_index"),
                     (1 + h).cast("int").alias("s"), (500 + h).cast("int").alias("e"),
@@ -99,7 +111,7 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paired reads: first ends for every order, second ends for orders not divisible by 11."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    o = spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"))
     name = F.concat(F.lit("p"), _s("o_orderkey"))
     ref = (F.col("o_custkey") % 25).cast("int")
     a = (1 + (F.col("o_orderkey") * 104729) % 900000).cast("int")
