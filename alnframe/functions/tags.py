@@ -76,11 +76,18 @@ def parse_tag(text) -> Column:
     return F.when(ok, F.struct(F.get(p, 0).alias("key"), parse_tag_value(F.get(p, 1), F.get(p, 2)).alias("value")))
 
 
+def tags_from_parsed(parsed) -> Column:
+    """Map from an array of parsed (key, value) entries: invalid entries dropped, and of
+    repeated names the first one kept (a map cannot hold a name twice)."""
+    p = col(parsed)
+    ok = F.filter(p, lambda e: e.isNotNull() & e.value.isNotNull())
+    first = F.filter(ok, lambda e, i: ~F.exists(F.slice(ok, 1, i), lambda q: q.key == e.key))
+    return F.coalesce(F.map_from_entries(first), empty_tags())
+
+
 def tags_from_fields(fields) -> Column:
     """Map of parsed tags from an array of ``NAME:TYPE:VALUE`` strings (invalid ones dropped)."""
-    parsed = F.transform(col(fields), lambda x: parse_tag(x))
-    return F.coalesce(F.map_from_entries(F.filter(parsed, lambda e: e.isNotNull() & e.value.isNotNull())),
-                      empty_tags())
+    return tags_from_parsed(F.transform(col(fields), lambda x: parse_tag(x)))
 
 
 def invalid_tag_fields(fields) -> Column:

@@ -123,3 +123,9 @@ def test_iso_dates(spark):
     df = spark.createDataFrame([("2011-03-04T05:06:07.891Z",), ("2011-03-04",), ("junk",)], "t string")
     got = [r.x for r in df.select(F.date_format(TG.parse_iso8601("t"), "yyyy-MM-dd HH:mm:ss").alias("x")).collect()]
     assert got == ["2011-03-04 05:06:07", "2011-03-04 00:00:00", None]
+
+
+def test_repeated_tag_keeps_first(spark):
+    df = spark.createDataFrame([(["NM:i:1", "NM:i:2", "XX:i:notanint"],)], "f array<string>")
+    t = one(df.select(TG.tags_from_fields("f").alias("t"))).t
+    assert t["NM"].i == 1 and "XX" not in t

@@ -80,3 +80,14 @@ def test_streaming_ingest(spark):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("SELECT count(*) AS n FROM aln_stream_test").first().n == 300
+
+
+def test_header_validation(spark):
+    from alnframe.operators.validate import validate_header
+    path = shared_dir(spark, "test-header")
+    lines = ["@HD\tVN:1.4\tSO:coordinate", "@SQ\tSN:chr1\tLN:1000", "@SQ\tSN:chr1\tLN:1000",
+             "@SQ\tSN:chr2\tLN:abc", "@RG\tID:g1\tPI:x", "@PG\tID:p1\tPN:tool", "@XY\tfoo:bar"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    msgs = sorted(r.message for r in validate_header(SAM.read_sam_header(spark, path)["records"]).collect())
+    assert "duplicate id chr1" in msgs and "@RG missing required tag SM" in msgs
+    assert "non-numeric PI" in msgs and "non-numeric LN" in msgs and "unknown header record type" in msgs
