@@ -122,3 +122,31 @@ def test_with_mate_counts(spark):
     m = JN.with_mate(p, key="k").toPandas()
     assert (m.mate_count <= 1).all()
     assert ((m.mate_count == 1) == m.mate_flag.notna()).all()
+
+
+def test_hot_duplicate_key(spark):
+    """A third of the reads share one duplicate key: the result still matches brute force,
+    and the best read per key comes from a partial aggregate, not a window over the key."""
+    reads = make_reads(spark, 3000, seed=17).filter("flag & 4 = 0")
+    hot = reads.withColumn("pos", F.when(F.col("record_no") % 3 == 0, F.lit(777)).otherwise(F.col("pos"))) \
+               .withColumn("ref_index", F.when(F.col("record_no") % 3 == 0, F.lit(5)).otherwise(F.col("ref_index"))) \
+               .withColumn("flag", F.when(F.col("record_no") % 3 == 0, F.col("flag").bitwiseAND(~16)).otherwise(F.col("flag"))) \
+               .withColumn("mate_ref_index", F.when(F.col("record_no") % 3 == 0, F.lit(-1)).otherwise(F.col("mate_ref_index"))) \
+               .withColumn("mate_pos", F.when(F.col("record_no") % 3 == 0, F.lit(0)).otherwise(F.col("mate_pos")))
+    marked = WN.mark_duplicates(hot)
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan
+    got = marked.filter("is_duplicate").count()
+    pdf = hot.select("read_id", "flag", "ref_index", "pos", "mate_ref_index", "mate_pos").toPandas()
+    pdf["five"] = pdf.pos + ((pdf.flag & 16) != 0) * 35
+    pdf = pdf[(pdf.flag & 256) == 0]
+    keys = pdf.groupby(["ref_index", "five", (pdf.flag & 16) != 0, "mate_ref_index", "mate_pos"]).size()
+    assert got == int((keys - 1).sum())
+    assert keys.max() >= 900
+
+
+def test_hot_contig_merge_is_blocked(spark):
+    """W1's first level windows over (contig, block): a hot contig is split by block."""
+    reads = A.reads(spark, SF_SMALL).filter("flag & 4 = 0")
+    plan = IV.merge_read_intervals(reads)._jdf.queryExecution().executedPlan().toString()
+    assert "_blk" in plan and "Window" in plan
