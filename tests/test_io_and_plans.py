@@ -86,8 +86,21 @@ def test_header_validation(spark):
     from alnframe.operators.validate import validate_header
     path = shared_dir(spark, "test-header")
     lines = ["@HD\tVN:1.4\tSO:coordinate", "@SQ\tSN:chr1\tLN:1000", "@SQ\tSN:chr1\tLN:1000",
-             "@SQ\tSN:chr2\tLN:abc", "@RG\tID:g1\tPI:x", "@PG\tID:p1\tPN:tool", "@XY\tfoo:bar"]
+             "@SQ\tSN:chr2\tLN:abc", "@RG\tID:g1\tPI:x", "@PG\tID:p1\tPN:tool", "@XY\tfoo:bar",
+             "@PG\tID:p2\tPN:a\tPN:b", "@PG\tID:p3\tPN:a\tPN:a"]
     spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
     msgs = sorted(r.message for r in validate_header(SAM.read_sam_header(spark, path)["records"]).collect())
     assert "duplicate id chr1" in msgs and "@RG missing required tag SM" in msgs
     assert "non-numeric PI" in msgs and "non-numeric LN" in msgs and "unknown header record type" in msgs
+    assert msgs.count("conflicting values for a tag") == 1
+
+
+def test_short_line_is_fatal(spark):
+    path = shared_dir(spark, "test-short-sam")
+    spark.createDataFrame([("r1\t0\tchr1\t100",)], "value string").coalesce(1).write.text(path)
+    try:
+        SAM.read_sam(spark, path, stringency="LENIENT", sequences=A.sequences(spark)).collect()
+        raised = False
+    except Exception:  # noqa: BLE001
+        raised = True
+    assert raised
