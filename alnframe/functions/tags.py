@@ -212,23 +212,34 @@ def truncate_sequence_name(name) -> Column:
     return F.regexp_extract(col(name), r"^(\S*)", 1)
 
 
-# fixed values: accepted ISO-8601 layouts of the DT field, tried in this order.
-ISO8601_PATTERNS = [
+# fixed values: accepted ISO-8601 layouts of the DT field, tried in this order. Layouts
+# without a zone are read as UTC whatever the session time zone is.
+ISO8601_ZONED = [
     "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
     "yyyy-MM-dd'T'HH:mm:ssXXX",
+    "yyyy-MM-dd'T'HH:mmXXX",
+]
+ISO8601_LOCAL = [
     "yyyy-MM-dd'T'HH:mm:ss.SSS",
     "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mmXXX",
     "yyyy-MM-dd'T'HH:mm",
     "yyyy-MM-dd",
 ]
+ISO8601_PATTERNS = ISO8601_ZONED + ISO8601_LOCAL
 
 
 def parse_iso8601(text) -> Column:
-    """TG7: timestamp (UTC default), truncated to whole seconds; NULL when unparsable."""
+    """TG7: timestamp (UTC when the text has no zone), truncated to whole seconds; NULL
+    when unparsable."""
     t = col(text)
-    parsed = F.coalesce(*[F.try_to_timestamp(t, F.lit(p)) for p in ISO8601_PATTERNS])
-    return F.date_trunc("second", parsed)
+    zoned = [F.try_to_timestamp(t, F.lit(p)) for p in ISO8601_ZONED]
+    local = [F.try_to_timestamp(F.concat(t, F.lit("+00:00")), F.lit(p + "XXX")) for p in ISO8601_LOCAL]
+    return F.date_trunc("second", F.coalesce(*zoned, *local))
+
+
+def format_utc(ts, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
+    """Text of a timestamp in UTC, independent of the session time zone."""
+    return F.date_format(F.to_utc_timestamp(col(ts), F.current_timezone()), pattern)
 
 
 def resolve_mate_name(mate_ref_name, ref_name) -> Column:

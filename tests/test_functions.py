@@ -121,8 +121,14 @@ def test_bed_line(spark):
 
 def test_iso_dates(spark):
     df = spark.createDataFrame([("2011-03-04T05:06:07.891Z",), ("2011-03-04",), ("junk",)], "t string")
-    got = [r.x for r in df.select(F.date_format(TG.parse_iso8601("t"), "yyyy-MM-dd HH:mm:ss").alias("x")).collect()]
+    got = [r.x for r in df.select(TG.format_utc(TG.parse_iso8601("t")).alias("x")).collect()]
     assert got == ["2011-03-04 05:06:07", "2011-03-04 00:00:00", None]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        again = [r.x for r in df.select(TG.format_utc(TG.parse_iso8601("t")).alias("x")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert again == got
 
 
 def test_repeated_tag_keeps_first(spark):
