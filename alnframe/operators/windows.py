@@ -99,19 +99,37 @@ def assign_sequence_index(sequences: DataFrame, order: str = "line_no") -> DataF
             .withColumn("duplicate_name", F.count(F.lit(1)).over(Window.partitionBy("name")) > 1))
 
 
-def region_quality_encoding(reads: DataFrame, group: str = "partition") -> DataFrame:
-    """The encoding guessed from the first read (ref, pos, key order) of each group,
-    applied to all reads of the group; ILLUMINA groups get BQ12-fixed qualities and a
-    ``quality_error`` flag when a score would go negative."""
-    first = (reads.groupBy(group)
-             .agg(F.min_by(BQ.max_phred("qual"),
-                           F.struct("ref_index", "pos", "read_id")).alias("_first_max")))
-    enc = first.select(group, F.when(F.col("_first_max") <= BQ.SANGER_MAX_QUAL, F.lit("SANGER"))
-                       .otherwise(F.lit("ILLUMINA")).alias("encoding"))
-    # One row per partition group: bounded by the partition count of the plan.
-    r = reads.join(F.broadcast(enc), group)
+def _encoding_of(first_qual) -> Column:
+    return (F.when(BQ.max_phred(first_qual) <= BQ.SANGER_MAX_QUAL, F.lit("SANGER"))
+            .otherwise(F.lit("ILLUMINA")))
+
+
+def apply_group_encoding(reads: DataFrame, encodings: DataFrame, group: str = "partition") -> DataFrame:
+    """Apply a per-group encoding (one row per group, broadcast): ILLUMINA groups get
+    BQ12-fixed qualities and a ``quality_error`` flag when a score would go negative."""
+    r = reads.join(F.broadcast(encodings.select(group, "encoding")), group)
     ill = F.col("encoding") == "ILLUMINA"
     return r.withColumns({
         "quality_error": ill & BQ.illumina_fix_error("qual"),
         "qual": F.when(ill, BQ.fix_illumina_quals("qual")).otherwise(F.col("qual")),
     })
+
+
+def region_quality_encoding(reads: DataFrame, group: str = "partition", key: str = "read_id") -> DataFrame:
+    """The encoding guessed from the first read (ref, pos, key order) of each group,
+    applied to all reads of the group."""
+    # Carry only the first read's quality string through the aggregate; its largest score
+    # is computed once per group afterwards, not for every read.
+    first = (reads.groupBy(group)
+             .agg(F.min_by("qual", F.struct("ref_index", "pos", key)).alias("_first_qual")))
+    enc = first.select(group, _encoding_of(F.col("_first_qual")).alias("encoding"))
+    return apply_group_encoding(reads, enc, group)
+
+
+def group_encodings(plan: DataFrame, region_firsts: DataFrame, group: str = "partition") -> DataFrame:
+    """W7 from per-region first reads (``region``, ``_first`` = min struct(ref_index, pos,
+    key, qual)) and a region -> group plan: the group's first read is the smallest of its
+    regions' first reads. Both inputs have one row per region, so no pass over the reads."""
+    g = plan.select("region", group).join(region_firsts.select("region", "_first"), "region")
+    first = g.groupBy(group).agg(F.min("_first").alias("_first"))
+    return first.select(group, _encoding_of(F.col("_first.qual")).alias("encoding"))
