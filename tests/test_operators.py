@@ -150,3 +150,44 @@ def test_hot_contig_merge_is_blocked(spark):
     reads = A.reads(spark, SF_SMALL).filter("flag & 4 = 0")
     plan = IV.merge_read_intervals(reads)._jdf.queryExecution().executedPlan().toString()
     assert "_blk" in plan and "Window" in plan
+
+
+def test_index_stats_counts_no_coordinate_reads(spark):
+    reads = make_reads(spark, 2000, seed=41)
+    stats = {(r.seq_index, r.name): (r.aligned, r.unaligned) for r in AG.index_stats(reads, A.sequences(spark)).collect()}
+    pdf = reads.select("ref_index", "pos", "flag").toPandas()
+    assert stats[(None, "NoCoordinateCount")][1] == int((pdf.pos == 0).sum())
+    placed = pdf[pdf.pos != 0]
+    for (idx, name), (al, un) in stats.items():
+        if idx is not None and al is not None:
+            assert al == int(((placed.ref_index == idx) & ((placed.flag & 4) == 0)).sum())
+
+
+def test_diff_dictionaries_md5_as_number(spark):
+    a = spark.createDataFrame([(0, "chr1", 100, "00ABcd"), (1, "chr2", 50, "ff"), (2, "chr3", 0, None)],
+                              "seq_index int, name string, length int, md5 string")
+    b = spark.createDataFrame([(0, "chr1", 100, "abcd"), (1, "chr2", 50, "fe"), (2, "chrX", 70, None)],
+                              "seq_index int, name string, length int, md5 string")
+    got = {r.seq_index: r.difference for r in JN.diff_dictionaries(a, b).collect()}
+    assert got == {1: "md5", 2: "name"}
+
+
+def test_region_query_open_end(spark):
+    from alnframe.operators import filters as FLT
+    reads = IV.with_alignment_end(make_reads(spark, 1500, seed=43))
+    whole = FLT.query_overlapping(reads, 3, 0, 0, use_bins=False).count()
+    assert whole == reads.filter("ref_index = 3").count()
+    tail = FLT.query_overlapping(reads, 3, 500000, 0, use_bins=False).select("read_id").collect()
+    pdf = reads.filter("ref_index = 3").select("read_id", "pos", "align_end", "flag").toPandas()
+    end = pdf.align_end.where((pdf.flag & 4) == 0, pdf.pos)
+    assert sorted(r.read_id for r in tail) == sorted(pdf.read_id[end >= 500000])
+
+
+def test_clip_to_contig(spark):
+    from alnframe.functions import cigar as CG
+    from alnframe.plans.pipeline import clip_to_contig
+    df = spark.createDataFrame([("100M", 951), ("3H10S80M10S", 961), ("50M2I48M", 1000), ("40M3D60M", 990)],
+                               "cigar string, pos int")
+    got = [r.c for r in df.select(CG.format_cigar(clip_to_contig(CG.parse_cigar("cigar"), "pos", F.lit(1000))).alias("c"))
+           .collect()]
+    assert got == ["50M50S", "3H10S40M50S", "1M99S", "11M89S"]
