@@ -39,10 +39,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and is left
     as it is. Only an unconfigured session (tests, local scripts) gets a folder under
-    the system temp directory.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    the system temp directory."""
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect: no SparkContext on the client)
+        sc = None
+    if sc is None:
+        if conf_dir:
+            return conf_dir
+        local = tempfile.mkdtemp(prefix="alnframe-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", local)
+        return local
+    current = sc.getCheckpointDir() or conf_dir
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)

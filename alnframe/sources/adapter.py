@@ -32,8 +32,12 @@ def spread(df: DataFrame) -> DataFrame:
     whole per-read expansion (bases, pieces, explodes) in one task; such a scan is spread
     round-robin over the cores. Spark sorts before a round-robin exchange, so a retried task
     gets the same rows."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (sessions without RDD access, e.g. Spark Connect)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def _s(c: str) -> Column:
@@ -144,7 +148,12 @@ def reference_chunks(spark: SparkSession, num_partitions: int | None = None) ->
     """
     per_contig = (S.ADAPTER_CONTIG_LENGTH + REFERENCE_CHUNK - 1) // REFERENCE_CHUNK
     n = len(S.adapter_contig_names()) * per_contig
-    parts = num_partitions or max(1, spark.sparkContext.defaultParallelism)
+    if num_partitions is None:
+        try:
+            num_partitions = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001  (no SparkContext in a Connect session)
+            num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, num_partitions)
     g = spark.range(0, n, numPartitions=parts)
     return g.select((F.col("id") / per_contig).cast("int").alias("ref_index"),
                     (F.col("id") % per_contig).cast("int").alias("chunk")).select(
