@@ -71,7 +71,7 @@ class PerfectHash:
 
 
 def _position(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-    return (mixed(keys + np.uint64(level) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(size)).astype(np.int64)
+    return (mixed(keys + np.uint64(level * 0x9E3779B97F4A7C15 % 2**64)) % np.uint64(size)).astype(np.int64)
 
 
 def _fingerprint(keys: np.ndarray) -> np.ndarray:

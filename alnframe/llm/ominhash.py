@@ -66,9 +66,9 @@ def edit_distance(a: list, b: list, most: int) -> int:
     hi = 0
     while hi < min(len(a), len(b)) - lo and a[-1 - hi] == b[-1 - hi]:
         hi += 1
-    a, b = a[lo : len(a) - hi], b[lo : len(b) - hi]
-    if not a or not b or abs(len(a) - len(b)) > most:
-        return max(len(a), len(b))
+    a, b = sorted((a[lo : len(a) - hi], b[lo : len(b) - hi]), key=len, reverse=True)
+    if not b or len(a) - len(b) > most:
+        return len(a)
     band = min(most, len(a))
     at: dict = {}
     for i, x in enumerate(a):

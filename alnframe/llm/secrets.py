@@ -53,35 +53,37 @@ ALLOWED = (r"(?i)example|placeholder|changeme|your[_-]|dummy|sample|redacted",
            r"^(/?[A-Za-z]+\d{0,2}[/_-])+[A-Za-z]*\d{0,4}$")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it and whatever is inlined."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _running(lengths: Column) -> Column:
     """Sums of the elements before each element, by blocks of 256 so that long arrays are not copied once per element."""
     block = 256
-    n = F.ceil(F.size(lengths) / F.lit(block)).cast("int")
-    starts = F.filter(F.sequence(F.lit(0), n), lambda i: i < n)
-    blocks = F.transform(starts, lambda i: F.slice(lengths, i * block + 1, block))
+    starts = F.filter(F.sequence(F.lit(0), F.size(lengths)), lambda i: (i % block == 0) & (i < F.size(lengths)))
 
     def sums(xs: Column) -> Column:
         return F.aggregate(xs, F.array(F.lit(0).cast("long")), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
 
-    inner = F.transform(blocks, sums)
-    before = sums(F.transform(inner, lambda s: F.element_at(s, -1)))
-    return F.flatten(F.transform(inner, lambda s, i: F.transform(F.slice(s, 1, F.size(s) - 1), lambda x: x + F.get(before, i))))
+    inner = F.transform(starts, lambda i: sums(F.slice(lengths, i + 1, block)))
+    return let(inner, lambda parts: let(sums(F.transform(parts, lambda s: F.element_at(s, -1))), lambda before: F.flatten(
+        F.transform(parts, lambda s, i: F.transform(F.slice(s, 1, F.size(s) - 1), lambda x: x + F.get(before, i))))))
+
+
+def _matches(text: Column, kind: int, scan: str, where: str, group: int, least: int) -> Column:
+    """Array of (start, kind, end, value) of every match long enough; positions by the lengths of matches and gaps."""
+    all_of = lambda g: F.regexp_extract_all(text, F.lit(scan), F.lit(g))
+    found = F.struct(all_of(0).alias("m"), all_of(group).alias("v"), F.split(text, scan, -1).alias("g"))
 
+    def spans(x: Column) -> Column:
+        lengths = F.transform(x["m"], lambda m, i: (F.length(F.get(x["g"], i)) + F.length(m)).cast("long"))
+        return let(lengths, lambda own: let(_running(own), lambda before: F.transform(x["m"], lambda m, i: let(
+            F.get(before, i) + F.length(F.get(x["g"], i)), lambda start: F.struct(
+                start.alias("start"), F.lit(kind).alias("kind"), (start + F.length(m)).alias("end"), F.get(x["v"], i).alias("value"))))))
 
-def _matches(df: DataFrame, kind: int, scan: str, where: str, group: int, least: int, out: str) -> DataFrame:
-    """Adds array column ``out``: (start, kind, end, value) of every match long enough."""
-    here = F.col("_text").rlike(where)
-    none = F.array().cast("array<string>")
-    df = df.withColumns({"_m": F.when(here, F.regexp_extract_all("_text", F.lit(scan), F.lit(0))).otherwise(none),
-                         "_v": F.when(here, F.regexp_extract_all("_text", F.lit(scan), F.lit(group))).otherwise(none) if group else F.lit(None).cast("array<string>"),
-                         "_g": F.when(here, F.split("_text", scan, -1)).otherwise(none)})
-    df = df.withColumn("_l", F.transform("_m", lambda m, i: (F.length(F.get("_g", i)) + F.length(m)).cast("long")))
-    df = df.withColumn("_r", F.when(F.size("_l") > 0, _running(F.col("_l"))).otherwise(F.array().cast("array<bigint>")))
-    start = lambda i: F.get(F.col("_r"), i) + F.length(F.get("_g", i))
-    value = (lambda m, i: F.get("_v", i)) if group else (lambda m, i: m)
-    spans = F.transform("_m", lambda m, i: F.struct(start(i).alias("start"), F.lit(kind).alias("kind"),
-                                                    (start(i) + F.length(m)).alias("end"), value(m, i).alias("value")))
-    return df.withColumn(out, F.filter(spans, lambda s: F.length(s["value"]) >= least)).drop("_m", "_v", "_g", "_l", "_r")
+    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value:string>>")
+    return F.when(text.rlike(where), F.filter(let(found, spans), lambda s: F.length(s["value"]) >= least)).otherwise(none)
 
 
 def window_entropy(value: Column, alphabet: str, window: int = WINDOW) -> Column:
@@ -106,21 +108,17 @@ def window_entropy(value: Column, alphabet: str, window: int = WINDOW) -> Column
     return F.aggregate(pairs, zero, step, lambda acc: acc["most"])
 
 
-def _likely(c: CharClass) -> Callable[[Column], Column]:
-    """Of a candidate of the class: it has the characters asked for, is not allowed, and meets none of ``spans``."""
+def _random(text: Column, c: CharClass, known: Column) -> Column:
+    """``known`` and the candidates of the class that meet none of it, are not allowed and have a window at the limit."""
     def test(s: Column) -> Column:
-        ok = ~F.exists("spans", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        ok = ~F.exists(known, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
         for p in c.has:
             ok = ok & s["value"].rlike(p)
         for p in ALLOWED:
             ok = ok & ~s["value"].rlike(p)
-        return ok
+        return F.when(ok, window_entropy(s["value"], c.alphabet) >= c.limit).otherwise(False)
 
-    return test
-
-
-def _random(c: CharClass) -> Callable[[Column], Column]:
-    return lambda s: window_entropy(s["value"], c.alphabet) >= c.limit
+    return F.concat(known, F.filter(_matches(text, len(PATTERNS), c.run, c.run, 0, WINDOW), test))
 
 
 def secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -128,21 +126,18 @@ def secret_spans(docs: DataFrame, text: str = "text") -> DataFrame:
 
     ``base`` holds what PATTERNS match (kind: position there); ``spans`` also what entropy finds (kind: after these),
     leaving out candidates that meet a base span or, for the second class, a span of the first. Null text: empty arrays.
-    Other columns stay; columns that begin with an underscore are for the operator's own use.
+    Other columns stay, but columns named base, spans or _found are replaced.
     """
-    df = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    for k, (name, _, group, least) in enumerate(PATTERNS):
-        df = _matches(df, k, SCAN[name], FOUND[name], group, least, f"_k{k}")
-    df = df.withColumn("base", F.array_sort(F.concat(*[F.col(f"_k{k}") for k in range(len(PATTERNS))])))
-    spans, later = F.col("base"), len(PATTERNS)
-    for j, c in enumerate(CLASSES):
-        df = _matches(df, later, c.run, c.run, 0, WINDOW, f"_c{j}")
+    source = F.coalesce(F.col(text), F.lit(""))
+    base = F.array_sort(F.concat(*[_matches(source, k, SCAN[name], FOUND[name], group, least) for k, (name, _, group, least) in enumerate(PATTERNS)]))
 
-        df = df.withColumn("spans", spans).withColumn(f"_c{j}", F.filter(f"_c{j}", _likely(c)))
-        df = df.withColumn(f"_c{j}", F.filter(f"_c{j}", _random(c)))
-        spans = F.concat("spans", f"_c{j}")
-    df = df.withColumn("spans", F.array_sort(spans))
-    return df.drop("_text", *[f"_k{k}" for k in range(len(PATTERNS))], *[f"_c{j}" for j in range(len(CLASSES))])
+    def both(b: Column) -> Column:
+        first, second = CLASSES
+        spans = let(_random(source, first, b), lambda known: _random(source, second, known))
+        return F.struct(b.alias("base"), F.array_sort(spans).alias("spans"))
+
+    return (docs.drop("base", "spans", "_found").withColumn("_found", let(base, both))
+            .withColumns({"base": F.col("_found.base"), "spans": F.col("_found.spans")}).drop("_found"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -154,7 +149,7 @@ def spans_text(spans: Column) -> Column:
 def redacted(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced; spans that overlap are replaced together. Texts without any stay as they
     are, null stays null."""
-    df = secret_spans(docs, text)
+    found = secret_spans(docs.select(*[F.col(c) for c in docs.columns if c not in ("base", "spans", "_found")], F.struct(*docs.columns).alias("_row")), text)
     zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
     source = F.col(text)
 
@@ -162,5 +157,9 @@ def redacted(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataF
         gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(source, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")), F.lit(by))).otherwise("")
         return F.struct(F.concat(acc["out"], gap).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
 
-    clean = F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(source, acc["at"].cast("int") + 1, F.length(source))))
-    return df.withColumn(text, F.when(F.size("spans") > 0, clean).otherwise(source)).select(*docs.columns)
+    def clean(spans: Column) -> Column:
+        joined = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(source, acc["at"].cast("int") + 1, F.length(source))))
+        return F.when(F.size(spans) > 0, joined).otherwise(source)
+
+    done = found.withColumn("_clean", let(F.col("spans"), clean))
+    return done.select(*[F.col("_clean").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns])

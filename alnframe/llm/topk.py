@@ -84,7 +84,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_i
 
     ``vector`` holds integers (array<long>); shorter ones count as padded with zeros, null vectors and ids take no part.
     Ties go to the smaller id. Rows that repeat an id are scored each; a query row that is repeated is answered once per
-    distinct vector, so equal repeats give one answer. Fewer than k others: all of them. No rows: no answers.
+    distinct vector, so equal repeats give one answer. Fewer than k others: all of them. No rows: no answers. Scores are sums of 64 bits; what exceeds them wraps.
     """
     rows = cut_lineage(vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector"), is_query.alias("query"))
                        .filter("id IS NOT NULL AND vector IS NOT NULL"))
