@@ -95,8 +95,18 @@ class Encoder:
         self.plain = regex.compile("[!-~À-ÿ]+").fullmatch
         # fixed value: the pre-tokens of the vocabulary's tokenizer
         self.pieces = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
-        self.piece = Remembered(self._encode)
-        self.words = Remembered(self._word)
+        self.piece = Remembered(self._encode, 500_000)
+        self.words = Remembered(self._word, 500_000)
+
+    @staticmethod
+    def of_worker(tokenizer_path: str, width: int) -> Encoder:
+        """The encoder that all tasks of a Python worker share, kept with the library's module."""
+        import tokenizers
+
+        known = tokenizers.__dict__.setdefault("_shared_encoders", {})
+        if (tokenizer_path, width) not in known:
+            known[tokenizer_path, width] = Encoder(tokenizer_path, width)
+        return known[tokenizer_path, width]
 
     def _encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
@@ -132,7 +142,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
             .repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, encoder = TaskContext.get().partitionId(), Encoder(tokenizer_path, width)
+        shard, encoder = TaskContext.get().partitionId(), Encoder.of_worker(tokenizer_path, width)
         end, (files, base) = np.array([end_id], encoder.type).tobytes(), _opened(folder)
         own, ids, lengths = f"{base}/.{uuid.uuid4().hex}", [], []
         out = None

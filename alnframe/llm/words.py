@@ -25,12 +25,12 @@ def n_words(text: Column) -> Column:
 class Remembered(dict):
     """A function of a word, computed once per task for each word it keeps."""
 
-    def __init__(self, of: Callable):
+    def __init__(self, of: Callable, most: int = REMEMBERED):
         super().__init__()
-        self.of = of
+        self.of, self.most = of, most
 
     def __missing__(self, word):
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.clear()
         value = self[word] = self.of(word)
         return value
