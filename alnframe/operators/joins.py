@@ -45,7 +45,8 @@ def with_mate(reads: DataFrame, key: str = "read_id") -> DataFrame:
     f = F.col("flag")
     is_first = f.bitwiseAND(S.FLAG_FIRST) != 0
     is_second = f.bitwiseAND(S.FLAG_SECOND) != 0
-    cand = (reads.select(
+    paired = f.bitwiseAND(S.FLAG_PAIRED) != 0
+    cand = (reads.filter(paired & (is_first != is_second)).select(
                 F.col("read_name").alias("_mname"),
                 F.col("ref_index").alias("_mref"),
                 F.when(F.col("ref_index") == S.NO_REF_INDEX, F.lit(0)).otherwise(F.col("pos")).alias("_mpos"),
@@ -57,30 +58,32 @@ def with_mate(reads: DataFrame, key: str = "read_id") -> DataFrame:
     want_pos = F.when(F.col("mate_ref_index") == S.NO_REF_INDEX, F.lit(0)).otherwise(F.col("mate_pos"))
     j = reads.join(cand, (F.col("read_name") == F.col("_mname")) & (F.col("mate_ref_index") == F.col("_mref"))
                    & (want_pos == F.col("_mpos")) & (F.col("_mfirst") == ~is_first), "left")
-    paired = f.bitwiseAND(S.FLAG_PAIRED) != 0
+    alone = reads.filter(~paired).select(F.col("read_name").alias("_alone")).distinct()
+    j = j.join(alone, F.col("read_name") == F.col("_alone"), "left")
     err = (F.when(~paired, F.lit("read is not paired"))
            .when(is_first == is_second, F.lit("both or neither end bits set"))
+           .when(F.col("_alone").isNotNull(), F.lit("an unpaired read has the same name"))
            .when(F.col("mate_count") > 1, F.lit("more than one mate")))
     return (j.withColumns({
         "mate_count": F.coalesce(F.col("mate_count"), F.lit(0)).cast("bigint"),
         "mate_key": F.col("_m.key"), "mate_flag": F.col("_m.flag"),
         "mate_error": err,
-    }).drop("_mname", "_mref", "_mpos", "_mfirst", "_m"))
+    }).drop("_mname", "_mref", "_mpos", "_mfirst", "_m", "_alone"))
 
 
 def assign_partitions(reads: DataFrame, plan: DataFrame, region: str = "region",
-                      repartition: bool = True) -> DataFrame:
+                      repartition: bool = True, key: str = "read_id", num_partitions: int | None = None) -> DataFrame:
     """JN5: region -> partition group from a balance plan (AG2; one row per region).
 
-    With ``repartition`` the rows are laid out by range on (partition, ref_index, pos):
+    With ``repartition`` the rows are laid out by range on (partition, ref_index, pos, key):
     each group occupies a contiguous run of tasks in group order, and a large group is
     split over several tasks instead of being funnelled into one task per group (a hash
     repartition on the group id would leave only as many busy tasks as groups)."""
     p = plan.select(F.col(region).alias("_region"), F.col("partition"))
     out = reads.join(F.broadcast(p), F.col(region) == F.col("_region")).drop("_region")
     if repartition:
-        n = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, "partition", "ref_index", "pos")
+        unique = [key] if key in out.columns else []  # else reads at one position could not be split
+        out = out.repartitionByRange(*([num_partitions] if num_partitions else []), "partition", "ref_index", "pos", *unique)
     return out
 
 

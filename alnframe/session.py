@@ -38,8 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and is left
-    as it is. Only an unconfigured session (tests, local scripts) gets a folder under
-    the system temp directory."""
+    as it is. Only an unconfigured session of one machine (tests, local scripts) gets a
+    folder under the system temp directory; elsewhere an unset folder is an error."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="alnframe-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

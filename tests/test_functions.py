@@ -75,15 +75,13 @@ def test_bisulfite(spark):
     assert [x.e for x in df.select(BQ.bisulfite_bases_equal("neg", "r", "f").alias("e")).collect()] == [True, True, False]
 
 
-def test_reference_from_md():
-    assert BQ.reference_from_md_text("ACGTACGT", "4M1D4M", "2A1^C4", True) == "ACATCACGT"
-    assert BQ.reference_from_md_text("ACGTACGT", "4M1D4M", "2A1^C4", False) == "ACATACGT"
-    assert BQ.reference_from_md_text("ACGTACGT", "4M1D4M", "2A1^CC4", True) is None
-
-
-def test_reference_from_md_udf(spark):
-    df = spark.createDataFrame([("ACGTACGT", "4M1D4M", "2A1^C4")], "s string, c string, m string")
-    assert one(df.select(BQ.reference_from_md("s", "c", "m", True).alias("x"))).x == "ACATCACGT"
+def test_reference_from_md(spark):
+    rows = [("ACGTACGT", "4M1D4M", "2A1^C4"), ("ACGTACGT", "4M1D4M", "2A1^CC4"), ("ACGTACGT", "2S3M2N2I1M", "1t2"), ("ACGT", "4M", "3"),
+            ("ACGT", "4M", "2?2"), ("ACGT", "4M", None), (None, "4M", "4"), ("AC", "1M1D1M", "2"), ("ACGT", "4M", "2^A2")]
+    df = spark.createDataFrame(rows, "s string, c string, m string")
+    got = df.select(BQ.reference_from_md("s", "c", "m", True).alias("a"), BQ.reference_from_md("s", "c", "m", False).alias("b")).collect()
+    assert [r.a for r in got] == ["ACATCACGT", None, "00GTANN--T", None, None, None, None, None, None]
+    assert [r.b for r in got[:3]] == ["ACATACGT", None, "00GTA--T"]
 
 
 def test_sq_bytes(spark):
