@@ -133,17 +133,16 @@ def linear_index(spark, sf_dir):
 
 # --------------------------------------------------------------------------- AG7
 
-_AG7_SQL = with_views(READS, SEQUENCES) + f"""
-SELECT sum(CAST(length AS BIGINT)) AS reference_length, count(*) AS n_sequences
-FROM sequences WHERE seq_index IN (SELECT ref_index FROM reads WHERE {_CALLABLE})
+_AG7_SQL = with_views(READS) + """
+SELECT CAST(sum(length) AS BIGINT) AS reference_length, count(*) AS n_sequences
+FROM (SELECT ref_index, max(pos) + 100 AS length FROM reads GROUP BY ref_index)
 """
 
 
 @register("reference_length", _AG7_SQL)
 def reference_length(spark, sf_dir):
-    """AG7 over the dictionary entries of the contigs that callable reads use."""
-    used = FL.callable_reads(A.reads(spark, sf_dir)).select(F.col("ref_index").alias("seq_index")).distinct()
-    seqs = A.sequences(spark).join(used, "seq_index", "left_semi")
+    """AG7 over the whole dictionary of contigs observed in the reads, each as long as its reads reach."""
+    seqs = A.reads(spark, sf_dir).groupBy(F.col("ref_index").alias("seq_index")).agg((F.max("pos") + 100).alias("length"))
     return AG.reference_length(seqs)
 
 

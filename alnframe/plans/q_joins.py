@@ -41,8 +41,8 @@ def with_ref_index(spark, sf_dir):
 # --------------------------------------------------------------------------- JN2
 
 def read_groups_from_nations(spark, sf_dir):
-    """Read groups rg0..rg2 named after nations (rg3 deliberately absent)."""
-    n = A.table(spark, sf_dir, "nation").filter(F.col("n_nationkey") < 3)
+    """A read group per nation; the reads also name groups that no nation has."""
+    n = A.table(spark, sf_dir, "nation")
     return n.select(F.concat(F.lit("rg"), F.col("n_nationkey").cast("string")).alias("id"),
                     F.col("n_name").alias("sample"), F.concat(F.lit("lib"), F.col("n_regionkey").cast("string")).alias("library"),
                     F.lit("ILLUMINA").alias("platform"))
@@ -50,16 +50,16 @@ def read_groups_from_nations(spark, sf_dir):
 
 _JN2_SQL = with_views(READS) + """,
 rg AS (SELECT 'rg' || CAST(n_nationkey AS VARCHAR) AS id, n_name AS sample, 'lib' || CAST(n_regionkey AS VARCHAR) AS library
-       FROM nation WHERE n_nationkey < 3)
+       FROM nation)
 SELECT r.read_id, rg.id AS rg_id, rg.sample AS rg_sample, rg.library AS rg_library
-FROM reads r LEFT JOIN rg ON 'rg' || CAST(r.ref_index % 4 AS VARCHAR) = rg.id
+FROM reads r LEFT JOIN rg ON 'rg' || CAST(r.mapq % 30 AS VARCHAR) = rg.id
 """
 
 
 @register("with_read_group", _JN2_SQL)
 def with_read_group(spark, sf_dir):
     r = A.reads(spark, sf_dir)
-    r = r.withColumn("tags", TG.set_tag("tags", "RG", TG.string_tag(F.concat(F.lit("rg"), (F.col("ref_index") % 4).cast("string")))))
+    r = r.withColumn("tags", TG.set_tag("tags", "RG", TG.string_tag(F.concat(F.lit("rg"), (F.col("mapq") % 30).cast("string")))))
     j = JN.with_read_group(r, read_groups_from_nations(spark, sf_dir))
     return j.select("read_id", "rg_id", "rg_sample", "rg_library")
 
@@ -152,8 +152,9 @@ def exclude_known_sites(spark, sf_dir):
 # --------------------------------------------------------------------------- JN11
 
 _JN11_SQL = with_views(READS, READS_X, SEQUENCES) + """,
-obs AS (SELECT ref_index AS seq_index, ref_name AS name, CAST(max(pos + ref_len - 1) AS INTEGER) AS length
-        FROM reads_x WHERE flag & 4 = 0 AND ref_index <> 5 GROUP BY ref_index, ref_name),
+obs AS (SELECT CASE WHEN ref_index = 5 THEN 105 ELSE ref_index END AS seq_index, CASE WHEN ref_index = 7 THEN 'other' ELSE ref_name END AS name,
+        CASE WHEN ref_index = 7 THEN 0 ELSE CAST(max(pos + ref_len - 1) AS INTEGER) END AS length
+        FROM reads_x WHERE flag & 4 = 0 GROUP BY ref_index, ref_name),
 j AS (SELECT coalesce(a.seq_index, b.seq_index) AS seq_index, a.name AS a_name, b.name AS b_name,
         a.length AS a_length, b.length AS b_length FROM sequences a FULL OUTER JOIN obs b ON a.seq_index = b.seq_index)
 SELECT CAST(seq_index AS INTEGER) AS seq_index, a_name, b_name, a_length, b_length,
@@ -166,13 +167,13 @@ FROM j WHERE a_name IS NULL OR b_name IS NULL OR (a_length <> 0 AND b_length <>
 
 @register("diff_dictionaries", _JN11_SQL)
 def diff_dictionaries(spark, sf_dir):
-    """JN11: the adapter dictionary against one observed from the reads (furthest end per
-    contig, contig 5 left out)."""
-    r = IV.with_alignment_end(A.reads(spark, sf_dir)).filter(
-        (F.col("flag").bitwiseAND(S.FLAG_UNMAPPED) == 0) & (F.col("ref_index") != 5))
+    """JN11: the adapter dictionary against one observed from the reads: furthest end per contig, contig 5 at another
+    index, contig 7 under another name and of unknown length."""
+    r = IV.with_alignment_end(A.reads(spark, sf_dir)).filter(F.col("flag").bitwiseAND(S.FLAG_UNMAPPED) == 0)
+    i = F.col("ref_index")
     obs = (r.groupBy("ref_index", "ref_name").agg(F.max("align_end").alias("length"))
-           .select(F.col("ref_index").alias("seq_index"), F.col("ref_name").alias("name"), "length",
-                   F.lit(None).cast("string").alias("md5")))
+           .select(F.when(i == 5, 105).otherwise(i).alias("seq_index"), F.when(i == 7, "other").otherwise(F.col("ref_name")).alias("name"),
+                   F.when(i == 7, 0).otherwise(F.col("length")).alias("length"), F.lit(None).cast("string").alias("md5")))
     d = JN.diff_dictionaries(A.sequences(spark), obs)
     return d.select("seq_index", "a_name", "b_name", "a_length", "b_length", "difference")
 
