@@ -94,6 +94,13 @@ def test_language_held_out_accuracy(spark):
     assert np.mean([r.rejected for r in rows]) < 0.01
 
 
+def test_language_reruns_agree(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    runs = [{tuple(r) for r in langid.identify(d).select("doc_id", "lang_pred", "score", "rejected", "_entropy").collect()}
+            for d in (docs, docs.orderBy(F.desc("doc_id")).repartition(5))]
+    assert runs[0] == runs[1]
+
+
 def test_kneser_ney_by_hand(spark):
     texts = [("a", "abra cadabra, Abra!"), ("a", "barb"), ("b", "zu zwei zebra"), ("b", None), ("b", "12")]
     model = langid.fit(spark.createDataFrame(texts, "lang string, text string"))
