@@ -59,7 +59,9 @@ def mark_duplicates(reads: DataFrame, key: str = "read_id", library: Column | No
             .agg(F.min(F.struct((-F.col("_score")).alias("neg_score"), F.col("read_name").alias("name"),
                                 F.col(key).alias("k"))).alias("_best"))
             .select(*DUP_KEY, F.col("_best.k").alias("_best_key")))
-    joined = r.join(best, DUP_KEY, "left")
+    # Reads that don't compete have no partner; spread over the join's tasks by their key, as they may share one place.
+    r = r.withColumn("_spread", F.when(F.col("_eligible"), F.lit(0).cast("bigint")).otherwise(F.xxhash64(key).bitwiseOR(F.lit(1))))
+    joined = r.join(best.withColumn("_spread", F.lit(0).cast("bigint")), [*DUP_KEY, "_spread"], "left").drop("_spread")
     dup = F.col("_eligible") & F.col("_best_key").isNotNull() & (F.col(key) != F.col("_best_key"))
     return (joined.withColumn("is_duplicate", dup)
             .withColumn("flag", F.when(dup, F.col("flag").bitwiseOR(S.FLAG_DUPLICATE)).otherwise(F.col("flag")))
@@ -86,8 +88,8 @@ def check_sorted(reads: DataFrame, order_key: str, block: Column, sort_key: Colu
     last = (r.groupBy("_blk").agg(F.max_by("_sk", F.col(order_key)).alias("_last_sk"))
             .withColumn("_prev_blk_sk", F.lag("_last_sk").over(Window.orderBy("_blk")))
             .select("_blk", "_prev_blk_sk"))
-    # The block summary has one row per block (bounded by the block count, not the rows).
-    joined = inner.join(F.broadcast(last), "_blk", "left")
+    # One summary row per block; no hint, as the number of blocks is the caller's choice.
+    joined = inner.join(last, "_blk", "left")
     prev = F.coalesce(F.col("_prev"), F.col("_prev_blk_sk"))
     return (joined.filter(prev.isNotNull() & (F.col("_sk") < prev))
             .withColumn("previous_key", prev)

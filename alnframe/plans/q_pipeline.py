@@ -15,7 +15,7 @@ from ..sources import adapter as A
 from ..sources import vcf as VCF
 from . import pipeline as PL
 from .catalog import register
-from .oracle_views import KNOWN_SITES, READS, READS_X, REF_BASE, SEQUENCES, TARGETS, with_views
+from .oracle_views import CONTIG, KNOWN_SITES, READS, READS_X, REF_BASE, SEQUENCES, TARGETS, with_views
 
 # Per-base explosion of the aligned blocks in DuckDB (independent of the Spark walk).
 _BASES_CTE = r""",
@@ -54,10 +54,10 @@ def _mismatch_sql(bisulfite: bool) -> str:
     return with_views(READS, READS_X) + _src() + _BASES_CTE + f""",
 x AS (SELECT b.read_id, CASE WHEN {diff} THEN 1 ELSE 0 END AS mm, CASE WHEN {diff} THEN b.q ELSE 0 END AS mq
       FROM b JOIN src s ON b.read_id = s.read_id WHERE b.p <= 1000000),
-indel AS (SELECT read_id, CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\\d+)[ID]', 1), lambda v: CAST(v AS INTEGER))), 0) AS INTEGER) AS nid FROM src)
-SELECT x.read_id, CAST(sum(mm) AS INTEGER) AS mismatches, CAST(sum(mq) AS INTEGER) AS mismatch_qual_sum,
-  CAST(sum(mm) + min(indel.nid) AS INTEGER) AS nm
-FROM x JOIN indel ON x.read_id = indel.read_id GROUP BY x.read_id
+indel AS (SELECT read_id, CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\\d+)[ID]', 1), lambda v: CAST(v AS INTEGER))), 0) AS INTEGER) AS nid FROM src WHERE flag & 4 = 0)
+SELECT indel.read_id, CAST(coalesce(sum(mm), 0) AS INTEGER) AS mismatches, CAST(coalesce(sum(mq), 0) AS INTEGER) AS mismatch_qual_sum,
+  CAST(coalesce(sum(mm), 0) + min(indel.nid) AS INTEGER) AS nm
+FROM indel LEFT JOIN x ON x.read_id = indel.read_id GROUP BY indel.read_id
 """
 
 
@@ -118,7 +118,7 @@ FROM calls
 
 
 def _calls(spark, sf_dir):
-    return RF.call_snvs(RF.pileup(_folded_reads(spark, sf_dir)), A.reference_chunks(spark))
+    return RF.call_snvs(RF.site_pileup(_folded_reads(spark, sf_dir)), A.reference_chunks(spark), A.sequences(spark))
 
 
 @register("call_snvs", _CALLS_SQL)
@@ -302,11 +302,50 @@ def duplicate_metrics(spark, sf_dir):
 
 # --------------------------------------------------------------------------- PL4
 
-@register("call_variants")
+_PL4_SQL = with_views(READS, TARGETS, KNOWN_SITES) + rf""",
+c0 AS (SELECT read_id, read_name, flag, ref_index, CAST({_FOLD} AS INTEGER) AS pos, cigar, seq, qual, mapq,
+         CAST(coalesce(list_sum(list_transform(regexp_extract_all(cigar, '(\d+)[MDN=X]', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) AS ref_len
+       FROM reads WHERE flag & 4 = 0 AND ref_index BETWEEN 1 AND 24),
+w0 AS (SELECT ref_index, pos AS s, pos + ref_len - 1 AS e,
+         max(pos + ref_len - 1) OVER (PARTITION BY ref_index ORDER BY pos, ref_len ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM c0),
+w1 AS (SELECT *, sum(CASE WHEN m IS NULL OR s > m + {S.READ_INTERVAL_SLACK} THEN 1 ELSE 0 END)
+         OVER (PARTITION BY ref_index ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS island FROM w0),
+region_ AS (SELECT ref_index, min(s) AS s, max(e) AS e FROM w1 GROUP BY ref_index, island),
+bed AS (SELECT DISTINCT t.ref_index, greatest(t.s, r.s) AS s, least(t.e, r.e) AS e
+        FROM targets t JOIN region_ r ON t.ref_index = r.ref_index AND t.s <= r.e AND t.e >= r.s),
+c1 AS (SELECT * FROM c0 WHERE EXISTS (SELECT 1 FROM bed WHERE bed.ref_index = c0.ref_index AND bed.s <= c0.pos + c0.ref_len - 1 AND bed.e >= c0.pos)),
+k AS (SELECT *,
+  CASE WHEN flag & 16 <> 0
+    THEN pos + ref_len - 1 + CAST(coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '((\d+[SH])*)$', 1), '(\d+)', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER)
+    ELSE pos - CAST(coalesce(list_sum(list_transform(regexp_extract_all(regexp_extract(cigar, '^((\d+[SH])*)', 1), '(\d+)', 1), lambda x: CAST(x AS INTEGER))), 0) AS INTEGER) END AS five,
+  list_sum(list_transform(string_split(qual, ''), lambda c: CASE WHEN ascii(c) - 33 >= 15 THEN ascii(c) - 33 ELSE 0 END)) AS score
+  FROM c1 WHERE flag & 256 = 0),
+src AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY ref_index, five, (flag & 16) <> 0 ORDER BY score DESC, read_name, read_id) AS rn
+        FROM k) WHERE rn = 1)""" + _BASES_CTE + rf""",
+obs AS (SELECT b.q AS qual, CAST(CASE WHEN b.flag & 16 <> 0 THEN length(b.seq) - b.ri0 ELSE b.ri0 + 1 END AS INTEGER) AS cycle,
+          CASE WHEN b.ri0 > 0 THEN upper(substr(b.seq, CAST(b.ri0 AS INTEGER), 1)) || upper(b.base) END AS dinuc,
+          CASE WHEN upper(b.base) <> upper({REF_BASE.format(r="s.ref_index", p="b.p")}) THEN 1 ELSE 0 END AS mm
+        FROM b JOIN src s ON b.read_id = s.read_id
+        WHERE NOT EXISTS (SELECT 1 FROM known_sites k WHERE k.ref_index = s.ref_index AND k.pos = b.p)),
+tab AS (SELECT qual, cycle, dinuc, -10 * log10((sum(mm) + 1) / (count(*) + 2)) AS empirical_q FROM obs GROUP BY ALL),
+nb AS (SELECT s.ref_index, CAST(b.p AS INTEGER) AS pos, upper(b.base) AS base,
+         CASE WHEN t.empirical_q IS NULL THEN b.q ELSE least(greatest(CAST(round(t.empirical_q) AS INTEGER), 1), 93) END AS q
+       FROM b JOIN src s ON b.read_id = s.read_id
+       LEFT JOIN tab t ON t.qual = b.q AND t.cycle = CASE WHEN b.flag & 16 <> 0 THEN length(b.seq) - b.ri0 ELSE b.ri0 + 1 END
+         AND t.dinuc IS NOT DISTINCT FROM CASE WHEN b.ri0 > 0 THEN upper(substr(b.seq, CAST(b.ri0 AS INTEGER), 1)) || upper(b.base) END),
+pile AS (SELECT ref_index, pos, base, count(*) AS depth, sum(q) AS qual_sum FROM nb GROUP BY ALL),
+""" + _CALLS_CTE[_CALLS_CTE.index("site AS ("):] + """
+SELECT ref_index AS chrom_no, """ + CONTIG.format(r="ref_index") + """ AS chrom, CAST(pos AS INTEGER) AS pos, ref, alt, qual,
+  CASE WHEN af >= 0.8 THEN '1/1' ELSE '0/1' END || ':' || CAST(rd AS VARCHAR) || ',' || CAST(ad AS VARCHAR) || ':' || CAST(dp AS VARCHAR) AS sample
+FROM calls
+"""
+
+
+@register("call_variants", _PL4_SQL)
 def call_variants(spark, sf_dir):
     """PL4 end to end over the adapter reads (positions folded into 1..2000 as for the
     pileup, so that sites have depth; every read is processed), targets, reference and
-    known sites. Rows-only check: the stages are each oracle-checked above."""
+    known sites."""
     out = PL.call_variants(_folded_reads(spark, sf_dir), A.sequences(spark), A.targets(spark, sf_dir),
                            A.reference_chunks(spark), A.known_sites(spark, sf_dir))
-    return out["calls"].select("chrom_no", "chrom", "pos", "ref", "alt", "qual", "sample")
+    return out["calls"].select("chrom_no", "chrom", F.col("pos").cast("int").alias("pos"), "ref", "alt", "qual", "sample")
