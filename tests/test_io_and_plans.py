@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from alnframe.plans import catalog
 from alnframe.operators import filters as FL
 from alnframe.session import shared_dir
 from alnframe.sources import adapter as A
@@ -23,7 +24,7 @@ def test_entry_smoke(spark):
 def test_queries_and_oracles_registered():
     qs, orc = E.queries(), E.oracle_sql()
     assert len(qs) >= 50 and set(orc) <= set(qs)
-    assert "call_variants" in qs and "call_variants" not in orc
+    assert "call_variants" in qs and set(catalog.queries()) == set(catalog.oracles())
 
 
 def test_sam_roundtrip_generated(spark):
