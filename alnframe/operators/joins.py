@@ -31,7 +31,8 @@ def with_read_group(reads: DataFrame, read_groups: DataFrame) -> DataFrame:
     """JN2: read-group attributes via the RG tag; NULL columns when the read has no RG."""
     rg = read_groups.select([F.col(c).alias(f"rg_{c}") for c in read_groups.columns])
     tag = F.col("tags").getItem("RG").s
-    return reads.join(F.broadcast(rg), tag == F.col("rg_id"), "left")
+    # No hint: over many files the read groups may be many; Catalyst goes by their size.
+    return reads.join(rg, tag == F.col("rg_id"), "left")
 
 
 def with_mate(reads: DataFrame, key: str = "read_id") -> DataFrame:

@@ -75,25 +75,33 @@ def coordinate_sort_key(ref_index="ref_index", pos="pos") -> Column:
                     r.alias("ref"), F.col(pos).alias("pos"))
 
 
-def check_sorted(reads: DataFrame, order_key: str, block: Column, sort_key: Column) -> DataFrame:
+def check_sorted(reads: DataFrame, order_key: str, blocks: Column | list[Column], sort_key: Column) -> DataFrame:
     """Rows whose ``sort_key`` precedes the previous row's in file order.
 
-    ``order_key`` is the file order (unique); ``block`` any non-decreasing coarsening of
-    it. Neighbours are compared inside blocks in parallel; the first row of a block is
-    compared with the last row of the preceding block through a per-block summary (one
-    row per block). Returns the offending rows with their previous key."""
-    r = reads.withColumns({"_blk": block, "_sk": sort_key})
-    w = Window.partitionBy("_blk").orderBy(order_key)
-    inner = r.withColumn("_prev", F.lag("_sk").over(w))
-    last = (r.groupBy("_blk").agg(F.max_by("_sk", F.col(order_key)).alias("_last_sk"))
-            .withColumn("_prev_blk_sk", F.lag("_last_sk").over(Window.orderBy("_blk")))
-            .select("_blk", "_prev_blk_sk"))
-    # One summary row per block; no hint, as the number of blocks is the caller's choice.
-    joined = inner.join(last, "_blk", "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_prev_blk_sk"))
-    return (joined.filter(prev.isNotNull() & (F.col("_sk") < prev))
-            .withColumn("previous_key", prev)
-            .drop("_blk", "_prev", "_prev_blk_sk"))
+    ``order_key`` is the file order (unique). ``blocks`` are non-decreasing coarsenings of it, finest first, each a
+    coarsening of the one before. Neighbours are compared inside the finest blocks in parallel; the first row of a block
+    is compared with the last row of the block before, found in the same way among one summary row per block inside the
+    next coarser blocks. So a task holds the rows of one block, or the summaries of one coarser block; only the summaries
+    of the coarsest blocks meet in one task, and the caller picks those so that they are few at any size. Returns the
+    offending rows with their previous key."""
+    levels = blocks if isinstance(blocks, list) else [blocks]
+    names = [f"_blk{i}" for i in range(len(levels))]
+    rows = reads.withColumns({**dict(zip(names, levels, strict=True)), "_sk": sort_key})
+    prev = _with_previous(rows, order_key, names)
+    return (prev.filter(F.col("_prev").isNotNull() & (F.col("_sk") < F.col("_prev")))
+            .withColumn("previous_key", F.col("_prev")).drop(*names, "_prev"))
+
+
+def _with_previous(rows: DataFrame, order: str, names: list[str]) -> DataFrame:
+    """``rows`` with ``_prev``, the ``_sk`` of the row before in ``order``; ``names`` are its block columns, finest first."""
+    if not names:
+        return rows.withColumn("_prev", F.lag("_sk").over(Window.orderBy(order)))
+    block = names[0]
+    inner = rows.withColumn("_prev", F.lag("_sk").over(Window.partitionBy(block).orderBy(order)))
+    # ``order`` is part of the summary only as the last row's; a finer block lies in one coarser block.
+    last = rows.groupBy(*names).agg(F.max_by("_sk", F.col(order)).alias("_sk"))
+    before = _with_previous(last, block, names[1:]).select(block, F.col("_prev").alias("_prev_block"))
+    return (inner.join(before, block, "left").withColumn("_prev", F.coalesce("_prev", "_prev_block")).drop("_prev_block"))
 
 
 def assign_sequence_index(sequences: DataFrame, order: str = "line_no") -> DataFrame:

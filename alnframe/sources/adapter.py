@@ -9,6 +9,7 @@ and the views compose into one plan with whatever operator runs on top.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkAttributeError, PySparkNotImplementedError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def spread(df: DataFrame) -> DataFrame:
     try:
         want = df.sparkSession.sparkContext.defaultParallelism
         have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (sessions without RDD access, e.g. Spark Connect)
+    except (PySparkAttributeError, PySparkNotImplementedError):  # a session without RDD access (Spark Connect)
         return df
     return df.repartition(want) if have < want else df
 
