@@ -123,44 +123,52 @@ def format_tags(tags) -> Column:
 
 # --- TG3: typed getters ---------------------------------------------------------------
 
+def _typed(v: Column, name: str, ok: Column, value: Column, cast: str, what: str, strict: bool) -> Column:
+    """``value`` where the tag has the asked type; else NULL, or with ``strict`` an error. An absent tag is NULL."""
+    if not strict:
+        return F.when(ok, value)
+    return F.when(v.isNull() | ok, value).otherwise(F.raise_error(F.lit(f"tag {name} is not {what}")).cast(cast))
+
+
 def tag_int(tags, name: str, strict: bool = False) -> Column:
     v = col(tags).getItem(name)
-    ok = v.type == "i"
-    if strict:
-        return F.when(v.isNull(), F.lit(None).cast("bigint")).when(ok, v.i).otherwise(
-            F.raise_error(F.concat(F.lit(f"tag {name} is not an integer"))).cast("bigint"))
-    return F.when(ok, v.i)
+    return _typed(v, name, v.type == "i", v.i, "bigint", "an integer", strict)
+
 
+def tag_int_ranged(tags, name: str, lo: int, hi: int, strict: bool = False) -> Column:
+    """Integer tag within [lo, hi] (a byte: -128 to 127, a short: -32768 to 32767); outside NULL, or with ``strict`` an error."""
+    i = tag_int(tags, name, strict)
+    return _typed(col(tags).getItem(name), name, i.between(lo, hi), i, "bigint", f"within {lo} to {hi}", strict)
 
-def tag_int_ranged(tags, name: str, lo: int, hi: int) -> Column:
-    """Integer tag narrowed to [lo, hi]; out of range -> NULL (try semantics)."""
-    i = tag_int(tags, name)
-    return F.when(i.between(lo, hi), i)
+
+def tag_string(tags, name: str, strict: bool = False) -> Column:
+    v = col(tags).getItem(name)
+    return _typed(v, name, v.type.isin("Z", "A"), v.s, "string", "a string", strict)
 
 
-def tag_string(tags, name: str) -> Column:
+def tag_char(tags, name: str, strict: bool = False) -> Column:
     v = col(tags).getItem(name)
-    return F.when(v.type.isin("Z", "A"), v.s)
+    return _typed(v, name, v.type == "A", v.s, "string", "a character", strict)
 
 
-def tag_float(tags, name: str) -> Column:
+def tag_float(tags, name: str, strict: bool = False) -> Column:
     v = col(tags).getItem(name)
-    return F.when(v.type == "f", v.f)
+    return _typed(v, name, v.type == "f", v.f, "float", "a float", strict)
 
 
-def tag_int_array(tags, name: str) -> Column:
+def tag_int_array(tags, name: str, strict: bool = False) -> Column:
     v = col(tags).getItem(name)
-    return F.when((v.type == "B") & (v.atype != "f"), v.ia)
+    return _typed(v, name, (v.type == "B") & (v.atype != "f"), v.ia, "array<bigint>", "an array of integers", strict)
 
 
-def tag_float_array(tags, name: str) -> Column:
+def tag_float_array(tags, name: str, strict: bool = False) -> Column:
     v = col(tags).getItem(name)
-    return F.when((v.type == "B") & (v.atype == "f"), v.fa)
+    return _typed(v, name, (v.type == "B") & (v.atype == "f"), v.fa, "array<float>", "an array of floats", strict)
 
 
-def tag_bytes(tags, name: str) -> Column:
+def tag_bytes(tags, name: str, strict: bool = False) -> Column:
     v = col(tags).getItem(name)
-    return F.when(v.type == "H", v.bytes)
+    return _typed(v, name, v.type == "H", v.bytes, "binary", "a byte string", strict)
 
 
 # --- TG4: edits ----------------------------------------------------------------------
@@ -174,12 +182,14 @@ def int_tag(value) -> Column:
 
 
 def set_tag(tags, name: str, value) -> Column:
-    """Set ``name`` to a tag value struct; a NULL value removes the tag."""
+    """Set ``name`` to a tag value struct; a NULL value removes the tag, an array without elements is an error."""
     t = col(tags)
-    v = col(value)
+    v = col(value).cast(S.TAG_VALUE)
+    empty = (v.type == "B") & (F.coalesce(F.size(v.ia), F.lit(0)) + F.coalesce(F.size(v.fa), F.lit(0)) <= 0)
+    v = F.when(empty, F.raise_error(F.lit(f"tag {name}: an array needs elements")).cast(S.TAG_VALUE)).otherwise(v)
     removed = F.map_filter(t, lambda k, _: k != F.lit(name))
     return F.when(v.isNull(), removed).otherwise(
-        F.map_concat(removed, F.create_map(F.lit(name), v.cast(S.TAG_VALUE))))
+        F.map_concat(removed, F.create_map(F.lit(name), v)))
 
 
 def remove_tag(tags, name: str) -> Column:
