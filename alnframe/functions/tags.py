@@ -90,11 +90,6 @@ def tags_from_fields(fields) -> Column:
     return tags_from_parsed(F.transform(col(fields), lambda x: parse_tag(x)))
 
 
-def invalid_tag_fields(fields) -> Column:
-    """Fields that did not parse as a tag (for validation)."""
-    return F.filter(col(fields), lambda x: parse_tag(x).isNull() | parse_tag(x).value.isNull())
-
-
 def _fmt_float(x: Column) -> Column:
     # Java prints floats like 1.5 / 3.0; Spark's cast to string matches for ordinary values.
     return x.cast("string")
