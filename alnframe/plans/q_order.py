@@ -28,15 +28,15 @@ def _in_order(rows, sort_key, columns: list[str]):
 
 # --------------------------------------------------------------------------- IO8
 
-_PICARD_SQL = with_views(READS, READS_X) + "," + _W1_CORE + """
+_REGIONS_SQL = with_views(READS, READS_X) + "," + _W1_CORE + """
 SELECT ref_name || ':' || CAST(start AS VARCHAR) || '-' || CAST("end" AS VARCHAR) AS value, true AS in_order FROM iv
 """
 
 
-@register("picard_regions", _PICARD_SQL)
-def picard_regions(spark, sf_dir):
+@register("region_lines", _REGIONS_SQL)
+def region_lines(spark, sf_dir):
     """W1 regions written as ``name:start-end`` lines, and the order of the lines in the files."""
-    path = shared_dir(spark, "picard")
+    path = shared_dir(spark, "region-lines")
     BED.write_picard_regions(IV.merge_read_intervals(FL.callable_reads(A.reads(spark, sf_dir))), path)
     place = A.sequences(spark).select(F.col("name").alias("contig"), "seq_index")  # 25 rows
     lines = (SAM.read_lines(spark, path).withColumn("contig", F.substring_index("value", ":", 1)).join(place, "contig")
