@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .words import exchanged, per_batch, word_hashes
@@ -78,24 +78,42 @@ def chunk_rows(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def repeats(docs: DataFrame, text: str = "text", least: int = REPEAT) -> DataFrame:
     """(doc_id, start, end, n_words, first_doc_id, removable): runs of ``least`` words or more (numbers of words, end
-    exclusive) that also stand in a document of another id.
-
-    first_doc_id is the least id that holds a part of the run; removable is false where that is the document itself, so
-    that taking out the removable runs leaves one copy. Null and empty texts, and texts of fewer words than a run, have
-    none; rows without an id take no part; rows that repeat an id count as one document. Case and punctuation count.
+    exclusive) that also stand in documents of another id, divided where removable changes; so a part of a run can have
+    fewer words.
+
+    Each repeat of two chunks stays in the document of the least id that holds it. removable is false for the words of
+    such first copies (first_doc_id is the document itself) and true for other words (first_doc_id is the least id that
+    holds a piece of the part), so that taking out the removable parts leaves a copy of every repeat. Null and empty
+    texts, and texts of fewer words than a run, have none; rows without an id take no part; rows that repeat an id count
+    as one document. Case and punctuation count.
     """
     chunks = chunk_rows(docs, text)
     twice = (chunks.groupBy("digest", "check").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
              .filter("first < last").select("digest", "check", "first"))
-    found = chunks.join(exchanged(twice), ["digest", "check"]).select(
-        "doc_id", F.floor(F.col("place") / 64).alias("start"), (F.floor(F.col("place") / 64) + F.col("place") % 64).alias("end"), "first")
-    own = Window.partitionBy("doc_id").orderBy("start", "end")
-    reach = F.max("end").over(own.rowsBetween(Window.unboundedPreceding, -1))
-    runs = (found.withColumn("new", F.when(F.col("start") <= reach, 0).otherwise(1))
-            .withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
-            .groupBy("doc_id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first_doc_id")))
-    return (runs.withColumn("n_words", F.col("end") - F.col("start")).filter(F.col("n_words") >= least)
-            .select("doc_id", "start", "end", "n_words", "first_doc_id", (F.col("first_doc_id") < F.col("doc_id")).alias("removable")))
+    start = F.floor(F.col("place") / 64)
+    found = (chunks.join(exchanged(twice), ["digest", "check"])
+             .select("doc_id", start.alias("start"), (start + F.col("place") % 64).alias("end"), "first").repartition("doc_id"))
+    own, earlier = (F.col("first") == F.col("doc_id")).cast("int"), F.when(F.col("first") < F.col("doc_id"), F.col("first"))
+
+    def mark(at: Column, cover: int, first: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(cover).alias("cover"), (own * cover).alias("own"), first.alias("first"))
+
+    # a repeat opens at its first word and closes after its last; its first document is noted at both of these words
+    marks = found.select("doc_id", F.explode(F.array(
+        mark(F.col("start"), 1, earlier), mark(F.col("end") - 1, 0, earlier), mark(F.col("end"), -1, F.lit(None).cast("long")))).alias("m")).select("doc_id", "m.*")
+    by = Window.partitionBy("doc_id").orderBy("at")
+    # marks at one word are peers: they have the same sums
+    swept = marks.select("doc_id", "at", "first", F.lead("at").over(by).alias("to"), (F.sum("cover").over(by) > 0).alias("covered"), (F.sum("own").over(by) > 0).alias("kept"))
+    opens = F.col("covered") & ~F.coalesce(F.lag("covered").over(by), F.lit(False))
+    turns = opens | (F.col("kept") != F.lag("kept").over(by))
+    so_far = by.rowsBetween(Window.unboundedPreceding, 0)
+    parts = (swept.withColumns({"opens": opens.cast("int"), "turns": F.coalesce(turns, F.lit(False)).cast("int")})
+             .withColumns({"run": F.sum("opens").over(so_far), "part": F.sum("turns").over(so_far)}).filter("covered")
+             .groupBy("doc_id", "run", "part").agg(F.min("at").alias("start"), F.max("to").alias("end"), F.min("first").alias("first"), F.max("kept").alias("kept")))
+    run = Window.partitionBy("doc_id", "run")
+    parts = (parts.withColumn("n_words", F.col("end") - F.col("start"))
+             .withColumns({"whole": F.sum("n_words").over(run), "first": F.coalesce("first", F.min("first").over(run))}).filter(F.col("whole") >= least))
+    return parts.select("doc_id", "start", "end", "n_words", F.when(F.col("kept"), F.col("doc_id")).otherwise(F.col("first")).alias("first_doc_id"), (~F.col("kept")).alias("removable"))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", least: int = REPEAT) -> DataFrame:

@@ -202,6 +202,30 @@ def test_without_repeats(spark):
     assert out[2].startswith(rest) and len(out[2].split()) < 30 + 28
 
 
+def test_removal_leaves_a_copy_of_each_repeat(spark):
+    page, insertion = prose(1000, 1).split(), prose(90, 2).split()
+    texts = {5: page[:500], 10: page, 20: page,  # a chain
+             30: prose(400, 3).split(), 31: None, 32: None, 40: prose(300, 4).split()}
+    texts[31] = texts[30][:200] + insertion + texts[30][200:]  # near copies that share an insertion
+    texts[32] = texts[31] + ["end"]
+    texts[41] = texts[40][100:200] + prose(60, 5).split()  # passages that overlap
+    texts[42] = texts[40][150:200] + prose(60, 5).split()
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    got = substring.repeats(df).collect()
+    left = {r.doc_id: r.text.split() for r in substring.without_repeats(df).collect()}
+    held = {w: {i for i, t in left.items() if w in t} for t in texts.values() for w in t if len(w) > 6}
+    assert not [w for w, ids in held.items() if not ids]
+    whole = {w for i in left for w in zip(*[left[i][k:] for k in range(5)])}
+    assert len(left[10]) in range(495, 530) and set(zip(*[page[520 + k :] for k in range(5)])) <= whole
+    assert len(left[20]) < 40 and len(left[32]) < 60 and 90 <= len(left[31]) < 150
+    for r in got:
+        assert r.removable == (r.first_doc_id < r.doc_id) and r.n_words == r.end - r.start > 0
+    for i in texts:  # parts are apart, and cover what runs covered
+        own = sorted((r.start, r.end) for r in got if r.doc_id == i)
+        assert all(a[1] <= b[0] for a, b in itertools.pairwise(own))
+    assert sum(r.n_words for r in got if r.doc_id == 20) > 970 and sum(r.n_words for r in got if r.doc_id == 10) > 970
+
+
 # --- packing
 
 def test_packing_rules(spark):
