@@ -6,7 +6,8 @@ shingles and their order. Texts with a common value are compared with a represen
 Jaccard similarity, then a banded alignment of their words. Verified links make connected components.
 
 No bucket makes all pairs: each member is linked to the least member of its buckets (one per table) and to the greatest
-of the finer buckets of two neighbouring tables, 2 * TABLES representatives in all. Exact copies are one node.
+of the finer buckets of two neighbouring tables, 2 * TABLES representatives in all. Exact copies are one node. Members of
+buckets that these links leave in several components are compared further, by an exact prefix join of their shingles.
 """
 
 from __future__ import annotations
@@ -161,6 +162,49 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFr
     return per_batch(pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b"), "a long, b long", make)
 
 
+def unjoined(nodes: DataFrame, joined: DataFrame) -> DataFrame:
+    """(node, component) of the rows (node, sketch) in buckets that hold nodes of several components of ``joined``."""
+    i = F.sequence(F.lit(0), F.lit(TABLES - 1))
+    keys = (nodes.join(exchanged(joined), "node", "left").withColumn("component", F.coalesce("component", "node"))
+            .select("node", "component", F.explode(F.transform(i, lambda t: F.xxhash64(t, F.get("sketch", t)))).alias("key")))
+    mixed_up = keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    return keys.join(exchanged(mixed_up), "key", "left_semi").select("node", "component").distinct()
+
+
+def similar_pairs(texts: DataFrame, least: float = LEAST) -> DataFrame:
+    """(a, b), a < b: all pairs of rows (node, component, text) of different components whose sets of 5-word shingles
+    can have a Jaccard similarity of ``least``; none that has is missed.
+
+    Shingles are put in one order, those of a single component first, then rare before frequent. Similar sets share one
+    of their first shingles (all but ``least`` of a set), and at the first that they share enough must be left in both.
+    """
+    def make() -> Callable:
+        hashes = word_hashes()
+
+        def step(cols: dict) -> dict:
+            sets = [np.unique(shingles(hashes(t.split()), K)).view(np.int64) for t in cols["text"]]
+            return {"node": cols["node"], "component": cols["component"], "size": [len(x) for x in sets], "shingles": sets}
+
+        return step
+
+    sets = cut_lineage(per_batch(texts, "node long, component long, size long, shingles array<long>", make)
+                       .withColumn("set", F.xxhash64("node", "shingles")))  # a node can have several texts
+    each = sets.select("node", "component", "size", "set", F.explode("shingles").alias("shingle"))
+    known = (each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+             .filter("low < high").select("shingle", "n"))
+    ordered = (each.join(exchanged(known), "shingle").groupBy("node", "component", "size", "set")
+               .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("shared")))  # the shingles of one text
+    ordered = ordered.withColumn("before", F.col("size") - F.size("shared"))
+    first = F.slice("shared", 1, F.greatest(F.lit(0), F.floor((1 - least) * F.col("size") + 1e-6) + 1 - F.col("before")).cast("int"))
+    prefix = cut_lineage(ordered.select("node", "component", "size", "before", F.posexplode(first).alias("at", "s")).select(
+        "node", "component", "size", (F.col("size") - F.col("before") - F.col("at")).alias("left"), F.col("s.shingle").alias("shingle")))
+    x, y = (exchanged(prefix.select("shingle", *[F.col(c).alias(f"{c}_{e}") for c in ("node", "component", "size", "left")])) for e in "ab")
+    most = F.least("left_a", "left_b")  # shingles that both can share from here on
+    return (x.join(y, "shingle").filter("node_a < node_b AND component_a <> component_b")
+            .filter(most * (1 + least) >= least * (F.col("size_a") + F.col("size_b")) - 1e-6)
+            .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, class_id, n_links): a row for each row of ``docs``.
 
@@ -173,11 +217,16 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     some = rows.filter("digest IS NOT NULL")
     nodes = cut_lineage(some.groupBy("digest").agg(F.min("node").alias("node"), F.any_value("sketch").alias("sketch")))
     pairs = cut_lineage(candidate_pairs(nodes))
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"))
-    texts = (texts.withColumn("node", F.col("doc_id")).filter("node IS NOT NULL").join(exchanged(involved), "node", "left_semi")
-             .select("node", F.col("text").cast("binary").alias("text")))
-    links = cut_lineage(verified(pairs, texts).distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary").alias("text")).filter("node IS NOT NULL")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return cut_lineage(verified(pairs, texts.join(exchanged(involved), "node", "left_semi")).distinct())
+
+    links = checked(pairs)
+    rest = cut_lineage(unjoined(nodes.select("node", "sketch"), components(links, "a", "b")))
+    further = cut_lineage(similar_pairs(texts.join(exchanged(rest), "node")))
+    links = cut_lineage(links.union(checked(further)).distinct())
     own = some.select("node", "digest").join(exchanged(nodes.select("digest", F.col("node").alias("rep"))), "digest").select("node", "rep")
     # copies meet at their representative; links connect representatives
     member = components(links.select("a", "b").union(own.filter("node <> rep")), "a", "b")

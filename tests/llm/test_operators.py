@@ -453,6 +453,21 @@ def test_near_duplicates_find_all_similar_pairs(spark):
     assert all(c == i for i, c in got.items() if i not in linked and i not in copies)
 
 
+def test_near_duplicates_in_a_template_family(spark):
+    template, texts = prose(340, 1).split(), {}
+    for i in range(140):  # pairs at Jaccard similarities of 0.82 to 0.91, any others at 0.74
+        own, other = prose(60, 100 + i).split(), prose(40, 1000 + i).split()
+        new = 20 + i % 19
+        texts[2 * i * 37 % 280], texts[(2 * i + 1) * 37 % 280] = template + own, template + own[: 60 - new] + other[:new]
+    texts[500], texts[501] = "two words", "two  words here"
+    df = spark.createDataFrame([(i, " ".join(t) if i < 500 else t) for i, t in texts.items()], "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in ominhash.near_duplicates(df).collect()}
+    sets = {i: set(zip(*[t[k:] for k in range(5)])) for i, t in texts.items() if i < 500}
+    similar = {(a, b) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(similar) == 140
+    assert [p for p in similar if got[p[0]] != got[p[1]]] == [] and len(set(got.values())) == 142
+
+
 def test_order_counts_for_the_sketch(spark):
     blocks = [prose(40, i) for i in range(6)]
     df = spark.createDataFrame([(1, " ".join(blocks)), (2, " ".join(blocks[::-1])), (3, " ".join(blocks) + " more")], "doc_id long, text string")
