@@ -16,12 +16,12 @@ from collections.abc import Callable
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .components import components
-from .words import exchanged, mixed, per_batch, shingles, word_hashes
+from .words import WORD, exchanged, mixed, per_batch, shingles, word_hashes
 
 K, TABLES, LEAST = 5, 16, 0.8
 
@@ -111,7 +111,29 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary").alias("text"))
     done = per_batch(rows, "doc_id long, digest string, sketch array<long>", make)
-    return done.withColumn("node", F.coalesce("doc_id", -1 - F.pmod(F.xxhash64("digest"), F.lit(2**62))))
+    return done.withColumn("node", F.coalesce("doc_id", node_of_text("digest")))
+
+
+def with_nodes(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with ``_node``, the node of ``sketches``; only rows without an id go through Python."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    named = docs.filter("doc_id IS NOT NULL").withColumn("_node", F.col("doc_id").cast("long"))
+
+    def make() -> Callable:
+        def step(cols: dict) -> dict:
+            words = [t.split() for t in cols["_lower"]]
+            return cols | {"_digest": [xxhash.xxh3_128_hexdigest(b" ".join(w)) if w else None for w in words]}
+
+        return step
+
+    rows = docs.filter("doc_id IS NULL").withColumn("_lower", F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary"))
+    nameless = per_batch(rows, f"{schema}, _digest string", make).withColumn("_node", node_of_text("_digest")).drop("_digest")
+    return named.unionByName(nameless)
+
+
+def node_of_text(digest: str) -> Column:
+    """The node of a row without an id: a negative number."""
+    return -1 - F.pmod(F.xxhash64(digest), F.lit(2**62))
 
 
 def candidate_pairs(nodes: DataFrame) -> DataFrame:
@@ -208,16 +230,23 @@ def similar_pairs(texts: DataFrame, least: float = LEAST) -> DataFrame:
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, class_id, n_links): a row for each row of ``docs``.
 
-    class_id is the least doc_id of the class; documents are in one class if verified links, or equal words in lower
+    class_id is the least doc_id of the class, rows without an id aside; documents are in one class if verified links, or equal words in lower
     case, connect them. n_links counts the verified links of the document's text to different texts; n_links is 0 for a
     document alone in its class or with copies only. Null and empty texts are alone. Rows that repeat a doc_id are one
-    document, linked by all its texts; a null id gets a class of its text, a negative number.
+    document, linked by all its texts. Rows without an id are members like others, by their text; a class of such rows alone has a
+    negative number.
     """
+    return _classes(docs, text).drop("node")
+
+
+def _classes(docs: DataFrame, text: str) -> DataFrame:
+    """near_duplicates, with the row's node."""
     rows = cut_lineage(sketches(docs, text))
     some = rows.filter("digest IS NOT NULL")
     nodes = cut_lineage(some.groupBy("digest").agg(F.min("node").alias("node"), F.any_value("sketch").alias("sketch")))
     pairs = cut_lineage(candidate_pairs(nodes))
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary").alias("text")).filter("node IS NOT NULL")
+    texts = (with_nodes(docs.select("doc_id", F.col(text).alias("text")))
+             .select(F.col("_node").alias("node"), F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text")))
 
     def checked(pairs: DataFrame) -> DataFrame:
         involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -230,17 +259,25 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     own = some.select("node", "digest").join(exchanged(nodes.select("digest", F.col("node").alias("rep"))), "digest").select("node", "rep")
     # copies meet at their representative; links connect representatives
     member = components(links.select("a", "b").union(own.filter("node <> rep")), "a", "b")
+    # a class takes its number from rows with an id
+    ids = (rows.filter("doc_id IS NOT NULL").select("node").distinct().join(exchanged(member), "node")
+           .groupBy("component").agg(F.min("node").alias("least")))
+    member = (member.join(exchanged(ids), "component", "left").select("node", F.coalesce("least", "component").alias("component")))
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n"))
     by_node = (own.join(exchanged(degree.withColumnRenamed("node", "rep")), "rep", "left")
                .groupBy("node").agg(F.max("n").alias("n_links")))
     out = (rows.select("doc_id", "node").join(exchanged(member), "node", "left").join(exchanged(by_node), "node", "left"))
-    return out.select("doc_id", F.coalesce("component", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return out.select("doc_id", "node", F.coalesce("component", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that are the least of their class. Of rows that repeat a doc_id and text one stays, as of rows
-    without an id that have the same text."""
-    classes = near_duplicates(docs, text)
+    """The documents that are the least of their class. Of rows that repeat a doc_id and text one stays. Rows without an
+    id stay where no row of their class has one: one row of each such class, and one of each text without a word."""
+    classes = cut_lineage(_classes(docs, text))
     kept = classes.filter("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
     named = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", text])
-    return named.unionByName(docs.filter("doc_id IS NULL").dropDuplicates([text]))
+    alone = classes.filter("doc_id IS NULL AND node = class_id").select(F.col("node").alias("_node")).distinct()
+    blank = F.when(F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)) == 0, F.col(text))
+    nameless = (with_nodes(docs.filter("doc_id IS NULL"), text).join(exchanged(alone), "_node", "left_semi")
+                .withColumn("_blank", blank).dropDuplicates(["_node", "_blank"]))
+    return named.unionByName(nameless.select(*docs.columns))

@@ -50,6 +50,23 @@ def test_near_duplicates_of_hard_rows(spark):
     assert sorted(x for x in kept if x) == [1, 2, 3, 4, 5, 7, 8, 8, 9, 10, 11, 12] and kept.count(None) == 2
 
 
+def test_near_copies_without_an_id(spark):
+    page, other = cases.prose(200, 11), cases.prose(150, 12)
+    rows = [(3, page), (7, f"{page} one"), (9, f"{page} two more"), (None, f"{page} three"), (None, page.upper()),
+            (11, cases.prose(150, 13)), (None, other), (None, f"{other} end"), (None, other), (None, ""), (None, None)]
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], cases.SCHEMA)
+    got = ominhash.near_duplicates(df).collect()
+    classes = {}
+    for r in got:
+        classes.setdefault(r.class_id, []).append(r.doc_id)
+    assert len(got) == len(rows) and sorted(classes[3], key=str) == [3, 7, 9, None, None] and classes[11] == [11]
+    assert sorted(len(ids) for c, ids in classes.items() if c < 0) == [2, 3]
+    kept = ominhash.one_of_each(df).collect()
+    assert sorted(r.doc_id for r in kept if r.doc_id is not None) == [3, 11]
+    nameless = sorted(str(r.text) for r in kept if r.doc_id is None)
+    assert len(nameless) == 3 and nameless[:1] == [""] and "None" in nameless and any(t.startswith(other) for t in nameless)
+
+
 def test_repeats_of_hard_rows(spark):
     got = {(r.doc_id, r.first_doc_id, r.removable, r.n_words) for r in substring.repeats(cases.hard(spark)).collect()}
     assert got == {(5, 5, False, 60_000), (6, 5, True, 60_000)}
