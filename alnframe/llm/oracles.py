@@ -65,3 +65,43 @@ WITH u AS (
 SELECT u.page_id, host, path, f.rule, coalesce(f.verdict, 'allow') AS verdict
 FROM u LEFT JOIN fits f ON u.page_id = f.page_id AND f.k = 1
 """
+
+ORACLES["op11_source_divergence"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), w AS (
+  SELECT k, lang, source, unnest(words) AS term FROM d
+), vocab AS (
+  SELECT lang, term, count(*) AS lang_n FROM w GROUP BY lang, term HAVING count(DISTINCT k) >= 30
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL
+), cell AS (
+  SELECT g.lang, g.source, v.term, v.lang_n, coalesce(c.n, 0) AS n
+  FROM g JOIN vocab v ON g.lang = v.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term
+), sums AS (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(lang_n) OVER (PARTITION BY lang, source) AS lang_total,
+         count(*) OVER (PARTITION BY lang, source) AS v
+  FROM cell
+), share AS (
+  SELECT lang, source, term, n, CAST(1 + (1000000000 * CAST(n + 5 AS HUGEINT)) // (total + 5 * v) AS BIGINT) AS p,
+         CAST(1 + (1000000000 * CAST(lang_n + 5 AS HUGEINT)) // (lang_total + 5 * v) AS BIGINT) AS q
+  FROM sums
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(sum(abs(x.p - y.p)), 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN share x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN share y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL
+), every AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pair
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM share WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank FROM every
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""

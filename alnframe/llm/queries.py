@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.adapter import table
-from . import binary, langid, mixing, ominhash, packing, quality, secrets, substring, topk, urls
+from . import binary, divergence, langid, mixing, ominhash, packing, quality, secrets, substring, topk, urls
 from .words import n_words
 
 URL_RULES: list[urls.Rule] = [
@@ -72,6 +72,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ominhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -80,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_top_k, op4_substring_dedup, op5_packing, op6_mixing,
-                                    op7_url_filter, op8_token_ids, op9_quality, op10_near_duplicates, pipeline)}
+                                    op7_url_filter, op8_token_ids, op9_quality, op10_near_duplicates, op11_source_divergence, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
