@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..session import shared_dir
 from ..sources.adapter import table
-from . import binary, divergence, langid, mixing, ominhash, packing, quality, secrets, substring, topk, urls
+from . import alignment, binary, divergence, langid, licenses, mixing, ominhash, packing, quality, secrets, substring, topk, urls
 from .words import n_words
 
 URL_RULES: list[urls.Rule] = [
@@ -76,6 +76,22 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (str(public_tokenizers.path(f)) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    found = alignment.align(table(spark, sf_dir, "documents"), a, b, digest=True)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.rarity(docs))
+    start = F.transform("places", lambda p: p["start"].cast("long"))
+    return found.select("doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min(start).alias("first_word"), F.array_max(start).alias("last_word"),
+                        F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -84,7 +100,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_secret_scan, op2_language_id, op3_top_k, op4_substring_dedup, op5_packing, op6_mixing,
-                                    op7_url_filter, op8_token_ids, op9_quality, op10_near_duplicates, op11_source_divergence, pipeline)}
+                                    op7_url_filter, op8_token_ids, op9_quality, op10_near_duplicates, op11_source_divergence,
+                                    op12_token_alignment, op13_license_scan, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
