@@ -110,23 +110,25 @@ def distances(shares: DataFrame, groups: DataFrame) -> DataFrame:
     term that the source lacks.
 
     A task sees a block of terms and two blocks of sources at a time, each block of bounded size; it adds up the pairs
-    of its sources, so what is shuffled is a number for each pair of sources and block of terms.
+    of its sources, so what is shuffled is a number for each pair of sources and block of terms. Terms that none of its
+    sources has don't reach it; each adds the difference of p0, which the first block of terms counts for all terms and
+    every block takes off for its own.
     """
     parts = F.ceil(F.greatest(F.col("n_terms"), F.lit(1)) / _TERMS).cast("int")
     sides = F.ceil(F.col("n_sources") / _SOURCES).cast("int")
-    groups = groups.select("lang", "source", "p0", parts.alias("parts"), sides.alias("sides"), F.pmod(F.xxhash64("source"), sides).cast("int").alias("side"))
+    groups = groups.select("lang", "source", "p0", "n_terms", parts.alias("parts"), sides.alias("sides"), F.pmod(F.xxhash64("source"), sides).cast("int").alias("side"))
     rows = (shares.join(exchanged(groups), ["lang", "source"])
-            .select("lang", "source", "term", "p", "sides", "side", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int").alias("part")))
-    absent = groups.select("lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), "sides", "side",
+            .select("lang", "source", "term", "p", "n_terms", "sides", "side", F.pmod(F.xxhash64("term"), F.col("parts")).cast("int").alias("part")))
+    absent = groups.select("lang", "source", F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"), "n_terms", "sides", "side",
                            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
     other = F.explode(F.sequence(F.lit(0), F.col("sides") - 1))
     placed = (rows.unionByName(absent).withColumn("other", other)
-              .select("lang", "part", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "source", "term", "p"))
+              .select("lang", "part", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "source", "term", "p", "n_terms"))
     schema = "lang string, source string, item string, value long"
     fields = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
 
     def sums(block: pa.Table) -> pa.Table:
-        lang, low, high = (block.column(c)[0].as_py() for c in ("lang", "low", "high"))
+        lang, part, low, high = (block.column(c)[0].as_py() for c in ("lang", "part", "low", "high"))
         source, term = (block.column(c).combine_chunks().dictionary_encode() for c in ("source", "term"))
         source, term = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (source, term))
         p, side = block.column("p").to_numpy(), block.column("side").to_numpy()
@@ -134,20 +136,24 @@ def distances(shares: DataFrame, groups: DataFrame) -> DataFrame:
         names, n = source.dictionary.to_pylist(), len(term.dictionary)
         table = np.zeros((len(names), n), np.int64)
         none = at < 0
-        table[of[none]] = p[none, None]
+        p0 = np.zeros(len(names), np.int64)
+        p0[of[none]] = p[none]
+        table += p0[:, None]
         table[of[~none], at[~none]] = p[~none]
         sides = np.empty(len(names), np.int64)
         sides[of] = side
-        left = np.flatnonzero(sides == low)
+        left, unseen = np.flatnonzero(sides == low), (block.column("n_terms")[0].as_py() if part == 0 else 0) - n
         out: tuple[list, list, list] = ([], [], [])
         for k in left.tolist():
             right = np.flatnonzero(sides == high) if low != high else left[left > k]
             out[0].extend([names[k]] * len(right))
             out[1].extend(names[j] for j in right.tolist())
-            out[2].extend(np.abs(table[right] - table[k]).sum(1).tolist())
+            out[2].extend((np.abs(table[right] - table[k]).sum(1) + unseen * np.abs(p0[right] - p0[k])).tolist())
         return pa.table([pa.array([lang] * len(out[0]), pa.string()), pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64())], schema=fields)
 
+    # a block tells a pair in any order; each pair has one here
     half = (placed.groupBy("lang", "part", "low", "high").applyInArrow(sums, schema)
+            .select("lang", F.least("source", "item").alias("source"), F.greatest("source", "item").alias("item"), "value")
             .groupBy("lang", "source", "item").agg(F.sum("value").alias("value")))
     turned = F.explode(F.array(F.struct("source", "item"), F.struct(F.col("item").alias("source"), F.col("source").alias("item"))))
     return half.select("lang", turned.alias("of"), "value").select("lang", "of.source", "of.item", "value")
