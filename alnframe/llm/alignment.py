@@ -132,8 +132,6 @@ class Aligner:
     def _learn(self, units: list[str]) -> None:
         """Units are encoded many in a row, as a token of either side ends where one ends with a plain character and the
         next begins; those that don't are encoded alone."""
-        if len(self.known) + len(units) > _REMEMBERED:
-            self.known.clear()
         inner = [u for u in units if _PLAIN_END(u)]
         rows = [inner[at : at + _IN_A_ROW] for at in range(0, len(inner), _IN_A_ROW)] + [[u] for u in units if not _PLAIN_END(u)]
         lead = ["" if row[0][0] == " " else " a" for row in rows]  # a unit that begins with a line feed has no space before it
@@ -189,10 +187,13 @@ class Aligner:
         where the joined bytes of a side differ from the text's."""
         for at in range(0, len(texts), 50):
             some = [self._cut(t) if t else [] for t in texts[at : at + 50]]
-            if new := list({u: None for units in some for u in units if u not in self.known}):
+            distinct = dict.fromkeys(u for units in some for u in units)
+            new = [u for u in distinct if u not in self.known]
+            if len(self.known) + len(new) > _REMEMBERED:
+                self.known.clear()
+                new = list(distinct)
+            if new:
                 self._learn(new)
-                if new := list({u: None for units in some for u in units if u not in self.known}):  # forgotten meanwhile
-                    self._learn(new)
             for units, text in zip(some, texts[at : at + 50], strict=True):
                 found = [self.known[u] for u in units]
                 if None in found:  # the bytes of a unit differ, those of the whole may not
