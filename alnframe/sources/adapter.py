@@ -142,12 +142,14 @@ def reference_chunk_bases(ref_index, chunk) -> Column:
     return F.translate(F.md5(F.concat(r.cast("string"), F.lit("|"), c.cast("string"))), *BASE_ALPHABET)
 
 
-def reference_chunks(spark: SparkSession, num_partitions: int | None = None) -> DataFrame:
-    """The adapter genome as (ref_index, chunk, chunk_start, bases): 25 x 31,250 rows.
+def reference_chunks(spark: SparkSession, num_partitions: int | None = None, chunk: int = REFERENCE_CHUNK) -> DataFrame:
+    """The adapter genome as (ref_index, chunk, chunk_start, bases): 25 x 31,250 rows of 32 bases, or fewer of
+    ``chunk`` bases, a multiple of 32.
 
     Stands in for a FASTA loaded into a table; joined to reads by (ref_index, chunk).
     """
-    per_contig = (S.ADAPTER_CONTIG_LENGTH + REFERENCE_CHUNK - 1) // REFERENCE_CHUNK
+    rule, each = (S.ADAPTER_CONTIG_LENGTH + REFERENCE_CHUNK - 1) // REFERENCE_CHUNK, chunk // REFERENCE_CHUNK
+    per_contig = (rule + each - 1) // each
     n = len(S.adapter_contig_names()) * per_contig
     if num_partitions is None:
         try:
@@ -158,5 +160,7 @@ def reference_chunks(spark: SparkSession, num_partitions: int | None = None) ->
     g = spark.range(0, n, numPartitions=parts)
     return g.select((F.col("id") / per_contig).cast("int").alias("ref_index"),
                     (F.col("id") % per_contig).cast("int").alias("chunk")).select(
-        "ref_index", "chunk", (F.col("chunk") * REFERENCE_CHUNK + 1).alias("chunk_start"),
-        reference_chunk_bases("ref_index", "chunk").alias("bases"))
+        "ref_index", "chunk", (F.col("chunk") * chunk + 1).alias("chunk_start"),
+        (reference_chunk_bases("ref_index", "chunk") if each == 1 else F.array_join(F.transform(
+            F.sequence(F.col("chunk") * each, F.least((F.col("chunk") + 1) * each, F.lit(rule)) - 1),
+            lambda c: reference_chunk_bases("ref_index", c)), "")).alias("bases"))
