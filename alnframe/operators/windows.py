@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import bases as BQ
 from ..functions import cigar as C
+from ..session import cut_lineage
 
 
 def duplicate_score(qual) -> Column:
@@ -35,6 +36,43 @@ def five_prime(flag, pos, ops) -> Column:
 DUP_KEY = ["library", "ref_index", "five_prime", "strand", "mate_ref_index", "mate_pos"]
 
 
+#: A Bloom filter block: 64 words of 64 bits; a key sets this many bits in one block.
+_WORDS, _BITS = 64, 5
+#: Blocks at most (64 MB); with more keys the filter lets more single reads through, at the price of shuffling them.
+MAX_BLOCKS = 1 << 17
+
+
+def _bloom_bits(h: Column) -> list[tuple[Column, Column]]:
+    """(word, bit) of each bit of a key's hash; other bits of the hash choose the block."""
+    return [(F.shiftrightunsigned(h, 12 * b).bitwiseAND(63).cast("int"), F.shiftrightunsigned(h, 12 * b + 6).bitwiseAND(63).cast("int")) for b in range(_BITS)]
+
+
+def key_filter(hashes: DataFrame, n: int, h: str = "h", max_blocks: int = MAX_BLOCKS) -> tuple[DataFrame, int]:
+    """A blocked Bloom filter of the 64-bit hashes as rows (block, words), with its number of blocks: 16 bits a key."""
+    blocks = 1
+    while blocks < max_blocks and blocks * _WORDS * 64 < 16 * n:
+        blocks *= 2
+    bits = hashes.select(_block(F.col(h), blocks).alias("block"), F.inline(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _bloom_bits(F.col(h))])))
+    # one shift for each value of b: the shift's distance has to be a constant
+    word = F.lit(0).cast("long")
+    for b in range(64):
+        word = F.when(F.col("b") == b, F.lit(-(1 << 63) if b == 63 else 1 << b)).otherwise(word)
+    words = bits.groupBy("block", "w").agg(F.bit_or(word).alias("bits")).groupBy("block").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m"))
+    return words.select("block", F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long"))).alias("words")), blocks
+
+
+def _block(h: Column, blocks: int) -> Column:
+    return F.pmod(F.xxhash64(h), F.lit(blocks)).cast("int")
+
+
+def may_hold(words: Column, h: Column) -> Column:
+    """Whether a block's words hold all bits of a hash; false without a block."""
+    held = F.lit(True)
+    for w, b in _bloom_bits(h):
+        held = held & (F.call_function("getbit", F.get(words, w), b) == 1)
+    return F.coalesce(held, F.lit(False))
+
+
 def mark_duplicates(reads: DataFrame, key: str = "read_id", library: Column | None = None) -> DataFrame:
     """Flag 0x400 on every read of a duplicate key except the best one.
 
@@ -42,6 +80,11 @@ def mark_duplicates(reads: DataFrame, key: str = "read_id", library: Column | No
     highest sum of qualities >= 15, then smallest read name, then smallest ``key``.
     Unmapped and secondary reads are never marked and do not compete. Adds
     ``is_duplicate`` and rewrites ``flag``.
+
+    Hashes of the keys are counted first, 16 bytes a read and partly summed. Those that occur twice or more go into a
+    Bloom filter of bounded size, which is broadcast. Reads that it doesn't hold, and those that don't compete, are
+    alone on their key and go through where they are; only the others are shuffled, to meet the best of their key. The
+    counted hashes are checkpointed, as their number sizes the filter.
     """
     lib = library if library is not None else (F.col("library") if "library" in reads.columns else F.lit(""))
     ops = C.parse_cigar("cigar")
@@ -52,20 +95,26 @@ def mark_duplicates(reads: DataFrame, key: str = "read_id", library: Column | No
         "five_prime": five_prime("flag", "pos", ops),
         "strand": (F.col("flag").bitwiseAND(S.FLAG_REVERSE) != 0),
         "_eligible": eligible,
-    })
-    scored = r.filter("_eligible").select(*DUP_KEY, key, "read_name", duplicate_score("qual").alias("_score"))
+    }).withColumn("_h", F.xxhash64(*DUP_KEY))
+    repeated = cut_lineage(r.filter("_eligible").groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("_h").alias("h")))
+    blocks, n_blocks = key_filter(repeated, repeated.count())
+    # as long as its blocks, 64 MB at most
+    r = r.join(F.broadcast(blocks.withColumnsRenamed({"block": "_block", "words": "_words"})), _block(F.col("_h"), n_blocks) == F.col("_block"), "left")
+    r = r.withColumn("_meets", F.col("_eligible") & may_hold(F.col("_words"), F.col("_h"))).drop("_block", "_words", "_h")
+    meeting = r.filter("_meets")
+    scored = meeting.select(*DUP_KEY, key, "read_name", duplicate_score("qual").alias("_score"))
     # min over (-score, name, key) = the best read; partial aggregation keeps hot keys cheap.
     best = (scored.groupBy(*DUP_KEY)
             .agg(F.min(F.struct((-F.col("_score")).alias("neg_score"), F.col("read_name").alias("name"),
                                 F.col(key).alias("k"))).alias("_best"))
             .select(*DUP_KEY, F.col("_best.k").alias("_best_key")))
-    # Reads that don't compete have no partner; spread over the join's tasks by their key, as they may share one place.
-    r = r.withColumn("_spread", F.when(F.col("_eligible"), F.lit(0).cast("bigint")).otherwise(F.xxhash64(key).bitwiseOR(F.lit(1))))
-    joined = r.join(best.withColumn("_spread", F.lit(0).cast("bigint")), [*DUP_KEY, "_spread"], "left").drop("_spread")
-    dup = F.col("_eligible") & F.col("_best_key").isNotNull() & (F.col(key) != F.col("_best_key"))
-    return (joined.withColumn("is_duplicate", dup)
-            .withColumn("flag", F.when(dup, F.col("flag").bitwiseOR(S.FLAG_DUPLICATE)).otherwise(F.col("flag")))
-            .drop("_eligible", "_best_key"))
+    # dealt out anew, so that the join has exchanges on both sides and adaptive execution can split a hot key
+    joined = meeting.join(best.hint("rebalance"), DUP_KEY, "left")
+    dup = F.col("_best_key").isNotNull() & (F.col(key) != F.col("_best_key"))
+    marked = (joined.withColumn("is_duplicate", dup)
+              .withColumn("flag", F.when(dup, F.col("flag").bitwiseOR(S.FLAG_DUPLICATE)).otherwise(F.col("flag"))))
+    alone = r.filter("NOT _meets").withColumn("is_duplicate", F.lit(False))
+    return marked.drop("_best_key").unionByName(alone).drop("_eligible", "_meets")
 
 
 def coordinate_sort_key(ref_index="ref_index", pos="pos") -> Column:
