@@ -19,11 +19,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, shared_dir
 from .components import components
 from .words import WORD, exchanged, mixed, per_batch, shingles, word_hashes
 
 K, TABLES, LEAST = 5, 16, 0.8
+#: Classes of shingle hashes whose texts are counted.
+BUCKETS = 1 << 20
 
 _SEEDS = mixed(np.arange(1, TABLES + 1, dtype=np.uint64))
 
@@ -42,9 +44,9 @@ def labelled(hashes: np.ndarray) -> np.ndarray:
     return np.where(times > 0, mixed(hashes + times * np.uint64(0x9E3779B97F4A7C15)), hashes)
 
 
-def sketch(hashes: np.ndarray) -> np.ndarray:
-    """Sketch values of word hashes, at least one word."""
-    own = labelled(shingles(hashes, K))
+def sketch(parts: np.ndarray) -> np.ndarray:
+    """Sketch values of a text's shingles in order, at least one."""
+    own = labelled(parts)
     if len(own) == 1:
         return mixed(own[0] ^ _SEEDS)
     step = max(1, 4_000_000 // len(own))  # tables at once, for texts of any length
@@ -94,23 +96,25 @@ def edit_distance(a: list, b: list, most: int) -> int:
 
 
 def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, node, digest, sketch): digest of the words in lower case, null without a word; node is the id, or a
-    negative number made from the text where the id is null."""
+    """(doc_id, node, digest, sketch, size): digest of the words in lower case, null without a word; node is the id, or a
+    negative number made from the text where the id is null; size is the number of different shingles."""
     def make() -> Callable:
         hashes = word_hashes()
 
         def step(cols: dict) -> dict:
-            out: dict = {"doc_id": cols["doc_id"], "digest": [], "sketch": []}
+            out: dict = {"doc_id": cols["doc_id"], "digest": [], "sketch": [], "size": []}
             for t in cols["text"]:
                 words = t.split()
+                parts = shingles(hashes(words), K) if words else None
                 out["digest"].append(xxhash.xxh3_128_hexdigest(b" ".join(words)) if words else None)
-                out["sketch"].append(sketch(hashes(words)).view(np.int64).tolist() if words else None)
+                out["sketch"].append(sketch(parts).view(np.int64).tolist() if words else None)
+                out["size"].append(len(np.unique(parts)) if words else None)
             return out
 
         return step
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary").alias("text"))
-    done = per_batch(rows, "doc_id long, digest string, sketch array<long>", make)
+    done = per_batch(rows, "doc_id long, digest string, sketch array<long>, size long", make)
     return done.withColumn("node", F.coalesce("doc_id", node_of_text("digest")))
 
 
@@ -136,17 +140,19 @@ def node_of_text(digest: str) -> Column:
     return -1 - F.pmod(F.xxhash64(digest), F.lit(2**62))
 
 
-def candidate_pairs(nodes: DataFrame) -> DataFrame:
-    """(a, b), a < b, of rows (node, sketch): every node with the representatives of its buckets."""
+def candidate_pairs(nodes: DataFrame, least: float = LEAST) -> DataFrame:
+    """(a, b), a < b, of rows (node, size, sketch): every node with the representatives of its buckets, but for those
+    whose number of shingles rules a similarity of ``least`` out."""
     i, s = F.sequence(F.lit(0), F.lit(TABLES - 1)), F.col("sketch")
     coarse = F.transform(i, lambda t: F.xxhash64(t, F.get(s, t)))
     fine = F.transform(i, lambda t: F.xxhash64(t + TABLES, F.get(s, t), F.get(s, (t + 1) % TABLES)))
-    keys = nodes.select("node", F.explode(F.concat(coarse, fine)).alias("key"))
-    ends = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
+    keys = nodes.select(F.struct("node", "size").alias("x"), F.explode(F.concat(coarse, fine)).alias("key"))
+    ends = keys.groupBy("key").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high")
     met = keys.join(exchanged(ends), "key")
-    pairs = met.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
-                                         F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")).select("p.a", "p.b")
-    return pairs.filter("a < b").distinct()
+    pairs = met.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("x").alias("b")),
+                                         F.struct(F.col("x").alias("a"), F.col("high").alias("b")))).alias("p")).select("p.a", "p.b")
+    alike = F.least("a.size", "b.size") >= least * F.greatest("a.size", "b.size") - 1e-6
+    return pairs.filter((F.col("a.node") < F.col("b.node")) & alike).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -193,33 +199,58 @@ def unjoined(nodes: DataFrame, joined: DataFrame) -> DataFrame:
     return keys.join(exchanged(mixed_up), "key", "left_semi").select("node", "component").distinct()
 
 
+def shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How many texts hold a shingle of each of BUCKETS classes of hashes: a vector of one size whatever the corpus."""
+    def make() -> Callable:
+        hashes, n = word_hashes(), np.zeros(BUCKETS, np.int64)
+
+        def step(cols: dict) -> dict:
+            for t in cols["text"]:
+                n[(np.unique(shingles(hashes(t.split()), K)) % np.uint64(BUCKETS)).astype(np.int64)] += 1
+            known = np.flatnonzero(n)
+            out = {"bucket": known.tolist(), "n": n[known].tolist()}
+            n[known] = 0
+            return out
+
+        return step
+
+    rows = per_batch(texts.select("text"), "bucket int, n long", make).groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    return counts
+
+
 def similar_pairs(texts: DataFrame, least: float = LEAST) -> DataFrame:
     """(a, b), a < b: all pairs of rows (node, component, text) of different components whose sets of 5-word shingles
     can have a Jaccard similarity of ``least``; none that has is missed.
 
-    Shingles are put in one order, those of a single component first, then rare before frequent. Similar sets share one
-    of their first shingles (all but ``least`` of a set), and at the first that they share enough must be left in both.
+    Shingles are put in one order, rare before frequent by a count sketch of bounded size and then by hash. Similar sets
+    share one of their first shingles (all but ``least`` of a set), and at the first that they share enough must be left
+    in both. This holds in any order, so an inexact count costs time and no pair. Only these first shingles are rows.
     """
+    counts = shingle_counts(texts)
+
     def make() -> Callable:
         hashes = word_hashes()
 
         def step(cols: dict) -> dict:
-            sets = [np.unique(shingles(hashes(t.split()), K)).view(np.int64) for t in cols["text"]]
-            return {"node": cols["node"], "component": cols["component"], "size": [len(x) for x in sets], "shingles": sets}
+            out: dict = {"shingle": [], "node": [], "component": [], "size": [], "left": []}
+            for node, component, t in zip(cols["node"], cols["component"], cols["text"], strict=True):
+                own = np.unique(shingles(hashes(t.split()), K))
+                n = counts[(own % np.uint64(BUCKETS)).astype(np.int64)]
+                first = np.lexsort((own, n))[: int((1 - least) * len(own) + 1e-6) + 1]
+                at = np.flatnonzero(n[first] > 1)  # a class of one text holds no shingle that two share
+                out["shingle"].extend(own[first[at]].view(np.int64).tolist())
+                out["left"].extend((len(own) - at).tolist())
+                for c, value in (("node", node), ("component", component), ("size", len(own))):
+                    out[c].extend([value] * len(at))
+            return out
 
         return step
 
-    sets = cut_lineage(per_batch(texts, "node long, component long, size long, shingles array<long>", make)
-                       .withColumn("set", F.xxhash64("node", "shingles")))  # a node can have several texts
-    each = sets.select("node", "component", "size", "set", F.explode("shingles").alias("shingle"))
-    known = (each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low < high").select("shingle", "n"))
-    ordered = (each.join(exchanged(known), "shingle").groupBy("node", "component", "size", "set")
-               .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("shared")))  # the shingles of one text
-    ordered = ordered.withColumn("before", F.col("size") - F.size("shared"))
-    first = F.slice("shared", 1, F.greatest(F.lit(0), F.floor((1 - least) * F.col("size") + 1e-6) + 1 - F.col("before")).cast("int"))
-    prefix = cut_lineage(ordered.select("node", "component", "size", "before", F.posexplode(first).alias("at", "s")).select(
-        "node", "component", "size", (F.col("size") - F.col("before") - F.col("at")).alias("left"), F.col("s.shingle").alias("shingle")))
+    folder = shared_dir(texts.sparkSession, "prefixes")
+    per_batch(texts, "shingle long, node long, component long, size long, left long", make).write.parquet(folder)
+    prefix = texts.sparkSession.read.parquet(folder)
     x, y = (exchanged(prefix.select("shingle", *[F.col(c).alias(f"{c}_{e}") for c in ("node", "component", "size", "left")])) for e in "ab")
     most = F.least("left_a", "left_b")  # shingles that both can share from here on
     return (x.join(y, "shingle").filter("node_a < node_b AND component_a <> component_b")
@@ -243,7 +274,7 @@ def _classes(docs: DataFrame, text: str) -> DataFrame:
     """near_duplicates, with the row's node."""
     rows = cut_lineage(sketches(docs, text))
     some = rows.filter("digest IS NOT NULL")
-    nodes = cut_lineage(some.groupBy("digest").agg(F.min("node").alias("node"), F.any_value("sketch").alias("sketch")))
+    nodes = cut_lineage(some.groupBy("digest").agg(F.min("node").alias("node"), F.any_value("sketch").alias("sketch"), F.any_value("size").alias("size")))
     pairs = cut_lineage(candidate_pairs(nodes))
     texts = (with_nodes(docs.select("doc_id", F.col(text).alias("text")))
              .select(F.col("_node").alias("node"), F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text")))
