@@ -12,8 +12,6 @@ import hashlib
 import json
 import os
 import re
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import shared_dir
-from .words import exchanged
+from .words import exchanged, kept_in_worker
 
 #: Units whose alignment a task remembers before it starts afresh; bounds its memory, not its result.
 _REMEMBERED = 500_000
@@ -206,15 +204,6 @@ class Aligner:
                 yield groups, links, (len(a), len(b), n)
 
 
-def _aligner(a_path: str, b_path: str) -> Aligner:
-    """One that all tasks of a Python worker share. Functions of this package travel by value, so what a worker keeps
-    stands in a module that is made in the worker."""
-    kept = sys.modules.setdefault("alnframe_worker", types.ModuleType("alnframe_worker")).__dict__.setdefault("aligners", {})
-    if (a_path, b_path) not in kept:
-        kept[a_path, b_path] = Aligner(a_path, b_path)
-    return kept[a_path, b_path]
-
-
 # --- the corpus -----------------------------------------------------------------------------------------------------
 
 _PAIR = pa.struct([("pair", pa.int64()), ("times", pa.int32())])
@@ -238,7 +227,7 @@ def token_links(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id",
               "pairs array<struct<pair:bigint,times:int>>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, empty = _aligner(a_path, b_path), np.zeros(0, np.int64)
+        aligner, empty = kept_in_worker(("aligner", a_path, b_path), lambda: Aligner(a_path, b_path)), np.zeros(0, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 250):
                 part = batch.slice(at, 250)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,6 +48,15 @@ def word_hashes() -> Callable[[list[bytes]], np.ndarray]:
     return hashes
 
 
+def kept_in_worker(key: tuple, make: Callable):
+    """What ``make`` returns, made once in a Python worker and shared by its tasks. Functions of this package travel by
+    value, so it is kept in a module of its own that is made in the worker."""
+    kept = sys.modules.setdefault("alnframe_worker", types.ModuleType("alnframe_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (multiply, shift, xor); arithmetic wraps."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)

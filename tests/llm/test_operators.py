@@ -326,14 +326,35 @@ def test_components(spark):
 
 # --- token ids
 
-def test_ids_are_the_tokenizers(spark):
+def test_ids_are_the_tokenizers(spark, monkeypatch):
     import public_tokenizers as P
     t = Tokenizer.from_file(str(P.path("word_bpe_49k.json")))
     texts = [d["text"] or "" for d in documents(spark)] + ["It's d'accord, we'LL see 12³ µm ºª ½ <|endoftext|> x<|startoftext|>y", "Ünï\u0301 Σας ΟΔΟΣ İI ß",
                                                          "a\u00a0b\u2003c\x1cd\x85e ;;:: \U0001F600\U0001F600", "漢字かな ไทย", "×÷ '' 's 're''ve"]
-    encoder = binary.Encoder(str(public_tokenizers.path("word_bpe_49k.json")), 2)
-    for text in texts:
-        assert np.frombuffer(encoder.ids(text), "<u2").tolist() == t.encode(text, add_special_tokens=False).ids
+    want = [t.encode(text, add_special_tokens=False).ids for text in texts]
+    for most in (binary._REMEMBERED, 50):  # much is forgotten on the way
+        monkeypatch.setattr(binary, "_REMEMBERED", most)
+        encoder = binary.Encoder(str(public_tokenizers.path("word_bpe_49k.json")), 2)
+        assert encoder.apart
+        got = [x for at in range(0, len(texts), 7) for x in encoder.ids(texts[at : at + 7])]
+        assert [np.frombuffer(x, "<u2").tolist() for x in got] == want
+
+
+def test_ids_of_another_tokenizer():
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder, t = binary.Encoder(path, 2), Tokenizer.from_file(path)
+    texts = ["Two  words\n", " a A é 漢 <|endoftext|>", ""]
+    assert not encoder.apart
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.ids(texts)] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_shards_of_another_tokenizer_in_a_folder_with_a_scheme(spark, monkeypatch):
+    monkeypatch.setattr(binary, "_BLOCK", 50)  # many blocks
+    path, folder = str(public_tokenizers.path("byte_bpe_50k.json")), "file:" + shared_dir(spark, "t").removeprefix("file:")
+    t, rows = Tokenizer.from_file(path), [(i, "word " * (i % 40) + "é") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in binary.encode_and_read(spark, df, folder, path, 50256).collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, text in rows for x in [t.encode(text, add_special_tokens=False).ids + [50256]]}
 
 
 def test_token_shards(spark):
@@ -350,10 +371,15 @@ def test_keyed_access(spark):
     folder, path = shared_dir(spark, "t"), str(public_tokenizers.path("word_bpe_49k.json"))
     df = hard(spark)
     manifest = binary.write_shards(df, folder, path, 1, 49408)
-    wanted = spark.createDataFrame([(4, 0), (7, 0), (7, 1), (7, 2), (99, 0), (-5, 0)], "doc_id long, time long")
-    got = {(r.doc_id, r.time): len(r.ids) for r in binary.look_up(wanted, manifest, folder).collect()}
-    one = {(r.doc_id): r.n_tokens for r in binary.read_back(manifest, folder).collect()}
-    assert got == {(4, 0): one[4], (7, 0): one[7], (7, 1): one[7]}
+    wanted = spark.createDataFrame([(4, 0), (7, 0), (7, 1), (7, 2), (99, 0), (-5, 0), (None, 0), (None, 2), (None, 3)], "doc_id long, time long")
+    found = binary.look_up(wanted, manifest, folder)
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+    got = {(r.doc_id, r.time): len(r.ids) for r in found.collect()}
+    back = binary.read_back(manifest, folder).collect()
+    one = {(r.doc_id): r.n_tokens for r in back}
+    nameless = sorted(r.n_tokens for r in back if r.doc_id is None)
+    assert got == {(4, 0): one[4], (7, 0): one[7], (7, 1): one[7], (None, 0): 1, (None, 2): nameless[2]}
+    assert binary.look_up(wanted, manifest.limit(0), folder).count() == 0
 
 
 def test_perfect_hash():
