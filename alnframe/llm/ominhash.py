@@ -12,6 +12,7 @@ buckets that these links leave in several components are compared further, by an
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
 import numpy as np
@@ -24,6 +25,8 @@ from .components import components
 from .words import WORD, exchanged, mixed, per_batch, shingles, word_hashes
 
 K, TABLES, LEAST = 5, 16, 0.8
+#: Words up to which a text's places are kept as masks of the whole text: 2 MB at most.
+_MASKED = 4096
 #: Classes of shingle hashes whose texts are counted.
 BUCKETS = 1 << 20
 
@@ -61,6 +64,36 @@ def sketch(parts: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+class _Places:
+    """Where each element stands in a sequence, as bits of a band: for texts of moderate length a mask of the whole text
+    for each element, for longer ones the places themselves, or a comparison of the band where an element is frequent.
+    So memory follows the length, whatever the number of different elements."""
+
+    def __init__(self, a: list, band: int):
+        self.band, self.width, self.masks, self.places = band, 2 * band + 1, {}, {}
+        self.a = None if len(a) <= _MASKED else np.array(a)
+        if self.a is None:
+            for i, x in enumerate(a):
+                self.masks[x] = self.masks.get(x, 0) | 1 << i
+        else:
+            for i, x in enumerate(a):
+                self.places.setdefault(x, []).append(i)
+
+    def at(self, x, j: int) -> int:
+        """The places of x from j - band on, one bit each; bits past the band are to be cut off."""
+        first = j - self.band
+        if self.a is None:
+            own = self.masks.get(x, 0)
+            return own >> first if first >= 0 else own << -first
+        places = self.places.get(x, ())
+        lo, hi = bisect_left(places, first), bisect_right(places, j + self.band)
+        if hi - lo <= 8:
+            return sum(1 << (i - first) for i in places[lo:hi])
+        begin = max(first, 0)
+        bits = np.packbits(self.a[begin : j + self.band + 1] == x, bitorder="little").tobytes()
+        return int.from_bytes(bits, "little") << (begin - first)
+
+
 def edit_distance(a: list, b: list, most: int) -> int:
     """Edits that make a into b, or a number over ``most``: bit vectors of a band of 2 * most + 1 diagonals."""
     lo = 0
@@ -73,16 +106,12 @@ def edit_distance(a: list, b: list, most: int) -> int:
     if not b or len(a) - len(b) > most:
         return len(a)
     band = min(most, len(a))
-    at: dict = {}
-    for i, x in enumerate(a):
-        at[x] = at.get(x, 0) | 1 << i
+    places = _Places(a, band)
     width = 2 * band + 1
     full, top = (1 << width) - 1, 1 << (width - 1)
     vp, vn, dist, across = full & ~((1 << band) - 1), 0, band, top >> 1
     for j, x in enumerate(b):
-        shift = j - band
-        eq = at.get(x, 0)
-        eq = (eq >> shift if shift >= 0 else eq << -shift) & full
+        eq = places.at(x, j) & full
         d0 = (((eq & vp) + vp) ^ vp) | eq | vn
         hp, hn = (vn | ~(d0 | vp)) & full, d0 & vp
         if j + band < len(a):  # down the lowest diagonal of the band, then along the last row

@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import duckdb
@@ -439,7 +440,9 @@ def test_distance():
 
 # --- near duplicates
 
-def test_edit_distance():
+@pytest.mark.parametrize("masked", [4096, 0])
+def test_edit_distance(monkeypatch, masked):
+    monkeypatch.setattr(ominhash, "_MASKED", masked)
     rng = random.Random(8)
     def plain(a, b):
         row = list(range(len(b) + 1))
@@ -456,6 +459,20 @@ def test_edit_distance():
         assert got == true if true <= most else got > most, (a, b, most)
 
 
+def test_edit_distance_of_books():
+    rng = random.Random(9)
+    a = list(range(200_000))  # all words differ
+    b = [x if rng.random() > 0.0005 else -x for x in a]
+    changed = sum(x != y for x, y in zip(a, b, strict=True))
+    tracemalloc.start()
+    assert ominhash.edit_distance(a, b, 1500) == changed
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    c = [x % 50 for x in a]  # few words, all frequent
+    assert ominhash.edit_distance(c[:20_000], c[3:20_000], 500) == 3
+
+
 def test_near_duplicates_find_all_similar_pairs(spark):
     sf = "/root/testdata/sf0.01"
     docs = documents(spark, sf)
