@@ -1,9 +1,7 @@
 """JN1-JN3, JN5, JN7, JN11, JN12: equi joins (range joins live in ``intervals``).
 
-Broadcast hints are only put on header-scale tables whose size is bounded by the header,
-not by the reads: the sequence dictionary (one row per contig), read groups, programs,
-and a partition plan (one row per region). Data-scale sides (known sites, mates) get no
-hint, so Catalyst's size check picks the strategy, and AQE may still switch at runtime.
+No side gets a broadcast hint, not even a header's table: a transcriptome's dictionary has millions of contigs. Catalyst's
+size check picks the strategy, and AQE may still switch at runtime.
 """
 
 from __future__ import annotations
@@ -16,8 +14,8 @@ from .. import schema as S
 
 def with_ref_index(reads: DataFrame, sequences: DataFrame) -> DataFrame:
     """JN1: reference and mate reference names -> dictionary index; -1 when absent."""
-    d = F.broadcast(sequences.select(F.col("name").alias("_n"), F.col("seq_index").alias("_i")))
-    m = F.broadcast(sequences.select(F.col("name").alias("_mn"), F.col("seq_index").alias("_mi")))
+    d = sequences.select(F.col("name").alias("_n"), F.col("seq_index").alias("_i"))
+    m = sequences.select(F.col("name").alias("_mn"), F.col("seq_index").alias("_mi"))
     out = (reads.drop("ref_index", "mate_ref_index")
            .join(d, F.col("ref_name") == F.col("_n"), "left")
            .join(m, F.when(F.col("mate_ref_name") == "=", F.col("ref_name"))
@@ -81,7 +79,7 @@ def assign_partitions(reads: DataFrame, plan: DataFrame, region: str = "region",
     split over several tasks instead of being funnelled into one task per group (a hash
     repartition on the group id would leave only as many busy tasks as groups)."""
     p = plan.select(F.col(region).alias("_region"), F.col("partition"))
-    out = reads.join(F.broadcast(p), F.col(region) == F.col("_region")).drop("_region")
+    out = reads.join(p, F.col(region) == F.col("_region")).drop("_region")
     if repartition:
         unique = [key] if key in out.columns else []  # else reads at one position could not be split
         out = out.repartitionByRange(*([num_partitions] if num_partitions else []), "partition", "ref_index", "pos", *unique)

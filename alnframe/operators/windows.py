@@ -167,9 +167,9 @@ def _encoding_of(first_qual) -> Column:
 
 
 def apply_group_encoding(reads: DataFrame, encodings: DataFrame, group: str = "partition") -> DataFrame:
-    """Apply a per-group encoding (one row per group, broadcast): ILLUMINA groups get
+    """Apply a per-group encoding (one row per group): ILLUMINA groups get
     BQ12-fixed qualities and a ``quality_error`` flag when a score would go negative."""
-    r = reads.join(F.broadcast(encodings.select(group, "encoding")), group)
+    r = reads.join(encodings.select(group, "encoding"), group)
     ill = F.col("encoding") == "ILLUMINA"
     return r.withColumns({
         "quality_error": ill & BQ.illumina_fix_error("qual"),

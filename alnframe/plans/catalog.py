@@ -26,7 +26,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load() -> None:
     # Importing the modules fills the registry.
-    from . import q_core, q_functions, q_io, q_joins, q_aggs, q_pipeline, q_rules, q_order, q_sweeps, q_store, q_headers  # noqa: F401
+    from . import q_core, q_functions, q_io, q_joins, q_aggs, q_pipeline, q_rules, q_order, q_sweeps, q_store, q_headers, q_sql  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

@@ -42,6 +42,10 @@ def _src(filter_sql: str = "", pos_expr: str = "pos") -> str:
             f"FROM reads {filter_sql})")
 
 
+def _reference(spark):
+    return A.reference_chunks(spark, chunk=RF.SWEEP_CHUNK)
+
+
 # --------------------------------------------------------------------------- JN8-JN10
 
 def _mismatch_sql(bisulfite: bool) -> str:
@@ -63,12 +67,12 @@ FROM indel LEFT JOIN x ON x.read_id = indel.read_id GROUP BY indel.read_id
 
 @register("mismatch_stats", _mismatch_sql(False))
 def mismatch_stats(spark, sf_dir):
-    return RF.mismatch_stats(A.reads(spark, sf_dir), A.reference_chunks(spark))
+    return RF.mismatch_stats(A.reads(spark, sf_dir), _reference(spark), chunk=RF.SWEEP_CHUNK)
 
 
 @register("bisulfite_mismatch_stats", _mismatch_sql(True))
 def bisulfite_mismatch_stats(spark, sf_dir):
-    return RF.mismatch_stats(A.reads(spark, sf_dir), A.reference_chunks(spark), bisulfite=True)
+    return RF.mismatch_stats(A.reads(spark, sf_dir), _reference(spark), bisulfite=True, chunk=RF.SWEEP_CHUNK)
 
 
 # --------------------------------------------------------------------------- AG12 / AG13
@@ -170,7 +174,7 @@ def _rg_reads(spark, sf_dir):
 
 @register("recal_table", _RECAL_SQL)
 def recal_table(spark, sf_dir):
-    t = RC.recal_table(_rg_reads(spark, sf_dir), A.reference_chunks(spark), A.known_sites(spark, sf_dir))
+    t = RC.recal_table(_rg_reads(spark, sf_dir), _reference(spark), A.known_sites(spark, sf_dir), chunk=RF.SWEEP_CHUNK)
     return t.select("read_group", F.col("qual").cast("int").alias("qual"), F.col("cycle").cast("int").alias("cycle"),
                     "dinuc", "observations", F.col("mismatches").cast("bigint").alias("mismatches"),
                     F.round("empirical_q", 6).alias("empirical_q"))
@@ -193,7 +197,7 @@ SELECT read_id, string_agg(chr(CAST(nq + 33 AS INTEGER)), '' ORDER BY ri0) AS qu
 @register("apply_recalibration", _APPLY_SQL)
 def apply_recalibration(spark, sf_dir):
     reads = _rg_reads(spark, sf_dir)
-    t = RC.recal_table(reads, A.reference_chunks(spark), A.known_sites(spark, sf_dir))
+    t = RC.recal_table(reads, _reference(spark), A.known_sites(spark, sf_dir), chunk=RF.SWEEP_CHUNK)
     return RC.apply_recalibration(reads, t).select("read_id", "qual")
 
 
@@ -347,5 +351,5 @@ def call_variants(spark, sf_dir):
     pileup, so that sites have depth; every read is processed), targets, reference and
     known sites."""
     out = PL.call_variants(_folded_reads(spark, sf_dir), A.sequences(spark), A.targets(spark, sf_dir),
-                           A.reference_chunks(spark), A.known_sites(spark, sf_dir))
+                           _reference(spark), A.known_sites(spark, sf_dir), chunk=RF.SWEEP_CHUNK)
     return out["calls"].select("chrom_no", "chrom", F.col("pos").cast("int").alias("pos"), "ref", "alt", "qual", "sample")
