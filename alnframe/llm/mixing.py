@@ -41,9 +41,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (5, 2, 1), most:
     return table.withColumn("target", F.when(below >= cap, cap.cast("double")).otherwise(below))
 
 
-def draw(doc_id: Column, seed: str) -> Column:
-    """A number in [0, 1) that depends on the id and the seed alone: 52 bits of an MD5 hash."""
-    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def draw(doc_id: Column, seed: str, text: Column | None = None) -> Column:
+    """A number in [0, 1) that depends on the id and the seed alone, on the text where the id is null: 52 bits of an MD5
+    hash."""
+    nameless = F.lit("null") if text is None else F.concat(F.lit("null:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    key = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), nameless))
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
@@ -51,20 +53,29 @@ def mix(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2, 1), mos
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``: how often the mix takes the document.
 
     A source's rate is target / source_size. Each document is taken floor(rate) times, and once more if its draw is
-    below the fraction, so a source's taken size has its target as expectation. Rows that repeat a doc_id draw alike.
-    Documents of size 0 in a source of size 0 have rate 0. Columns named size, source_size, target or copies are replaced.
+    below the fraction, so a source's taken size has its target as expectation. Rows that repeat a doc_id draw alike;
+    rows without one draw by their ``text``, if there is such a column. Documents of size 0 in a source of size 0 have
+    rate 0. Columns named size, source_size, target or copies are replaced; others stay, whatever their names.
     """
-    docs = docs.drop("source_size", "target", "copies").withColumn("size", size)
-    targets = source_targets(docs.select("source", "size"), weights, most).drop("weight")
+    whole = _mixed(docs, size, weights, most, seed)
+    own = [c for c in docs.columns if c.lower() not in ("size", "source_size", "target", "copies")]
+    return whole.select(*[F.col("row")[c].alias(c) for c in own], "size", "source_size", "target", "copies")
+
+
+def _mixed(docs: DataFrame, size: Column, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: str = "mix") -> DataFrame:
+    """(row, size, source_size, target, copies): the rows of ``docs`` as structs, so that no name of theirs can clash."""
+    text = F.col("text").cast("string") if "text" in docs.columns else None
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("source").alias("source"), size.alias("size"), draw(F.col("doc_id"), seed, text).alias("draw"))
+    targets = source_targets(rows.select("source", "size"), weights, most).drop("weight")
     few = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    targets = targets.withColumnRenamed("source", "_source")
-    joined = docs.join(F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
+    targets = targets.withColumnRenamed("source", "of")
+    joined = rows.join(F.broadcast(targets) if few else targets, F.col("source").eqNullSafe(F.col("of")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    more = F.when(draw(F.col("doc_id"), seed) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("copies", F.floor(rate) + more)
+    more = F.when(F.col("draw") < rate - F.floor(rate), 1).otherwise(0)
+    return joined.select("row", "size", "source_size", "target", (F.floor(rate) + more).alias("copies"))
 
 
 def mixed_rows(docs: DataFrame, size: Column, **how) -> DataFrame:
-    """The mix itself: every document as often as it is taken, with the columns of ``docs``."""
-    taken = mix(docs.withColumn("_kept_size", F.lit(0)), size, **how).drop("_kept_size")
-    return taken.withColumn("_copy", F.explode(F.expr("IF(copies > 0, sequence(1L, copies), array())"))).select(*docs.columns)
+    """The mix itself: every document as often as it is taken, with the columns of ``docs`` as they are."""
+    taken = _mixed(docs, size, **how).select("row", F.explode(F.expr("IF(copies > 0, sequence(1L, copies), array())")).alias("copy"))
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns])

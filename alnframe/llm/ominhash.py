@@ -148,20 +148,22 @@ def sketches(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def with_nodes(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``_node``, the node of ``sketches``; only rows without an id go through Python."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    named = docs.filter("doc_id IS NOT NULL").withColumn("_node", F.col("doc_id").cast("long"))
+    """(row, node): the rows of ``docs`` as structs with the node of ``sketches``; texts without an id alone go through
+    Python."""
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    named = rows.filter("row.doc_id IS NOT NULL").withColumn("node", F.col("row.doc_id").cast("long"))
 
     def make() -> Callable:
         def step(cols: dict) -> dict:
-            words = [t.split() for t in cols["_lower"]]
-            return cols | {"_digest": [xxhash.xxh3_128_hexdigest(b" ".join(w)) if w else None for w in words]}
+            words = [t.split() for t in cols["lower"]]
+            return {"text": cols["text"], "digest": [xxhash.xxh3_128_hexdigest(b" ".join(w)) if w else None for w in words]}
 
         return step
 
-    rows = docs.filter("doc_id IS NULL").withColumn("_lower", F.lower(F.coalesce(F.col(text), F.lit(""))).cast("binary"))
-    nameless = per_batch(rows, f"{schema}, _digest string", make).withColumn("_node", node_of_text("_digest")).drop("_digest")
-    return named.unionByName(nameless)
+    nameless = rows.filter("row.doc_id IS NULL")
+    own = nameless.select(F.col("row")[text].alias("text")).distinct().withColumn("lower", F.lower(F.coalesce("text", F.lit(""))).cast("binary"))
+    digests = per_batch(own, "text string, digest string", make).select(F.col("text").alias("of"), node_of_text("digest").alias("node"))
+    return named.unionByName(nameless.join(exchanged(digests), F.col("row")[text].eqNullSafe(F.col("of"))).select("row", "node"))
 
 
 def node_of_text(digest: str) -> Column:
@@ -306,7 +308,7 @@ def _classes(docs: DataFrame, text: str) -> DataFrame:
     nodes = cut_lineage(some.groupBy("digest").agg(F.min("node").alias("node"), F.any_value("sketch").alias("sketch"), F.any_value("size").alias("size")))
     pairs = cut_lineage(candidate_pairs(nodes))
     texts = (with_nodes(docs.select("doc_id", F.col(text).alias("text")))
-             .select(F.col("_node").alias("node"), F.lower(F.coalesce("text", F.lit(""))).cast("binary").alias("text")))
+             .select("node", F.lower(F.coalesce("row.text", F.lit(""))).cast("binary").alias("text")))
 
     def checked(pairs: DataFrame) -> DataFrame:
         involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -334,10 +336,12 @@ def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
     """The documents that are the least of their class. Of rows that repeat a doc_id and text one stays. Rows without an
     id stay where no row of their class has one: one row of each such class, and one of each text without a word."""
     classes = cut_lineage(_classes(docs, text))
-    kept = classes.filter("doc_id = class_id").select(F.col("doc_id").alias("_id")).distinct()
-    named = docs.join(kept, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id", text])
-    alone = classes.filter("doc_id IS NULL AND node = class_id").select(F.col("node").alias("_node")).distinct()
-    blank = F.when(F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)) == 0, F.col(text))
-    nameless = (with_nodes(docs.filter("doc_id IS NULL"), text).join(exchanged(alone), "_node", "left_semi")
-                .withColumn("_blank", blank).dropDuplicates(["_node", "_blank"]))
-    return named.unionByName(nameless.select(*docs.columns))
+    kept = classes.filter("doc_id = class_id").select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.filter("doc_id IS NOT NULL").select(F.struct(*docs.columns).alias("row"), F.col("doc_id").alias("doc_id"), F.col(text).alias("text"))
+    named = rows.join(kept, F.col("doc_id") == F.col("id"), "left_semi").dropDuplicates(["doc_id", "text"]).select("row")
+    alone = classes.filter("doc_id IS NULL AND node = class_id").select("node").distinct()
+    own = F.col("row")[text]
+    blank = F.when(F.regexp_count(F.coalesce(own, F.lit("")), F.lit(WORD)) == 0, own)
+    nameless = (with_nodes(docs.filter("doc_id IS NULL"), text).join(exchanged(alone), "node", "left_semi")
+                .withColumn("blank", blank).dropDuplicates(["node", "blank"])).select("row")
+    return named.unionByName(nameless).select(*[F.col("row")[c].alias(c) for c in docs.columns])

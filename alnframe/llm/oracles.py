@@ -22,7 +22,7 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 ORACLES["op6_mixing"] = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
 ), s AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
 ), w AS (
@@ -42,7 +42,7 @@ WITH d AS (
 ), r AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
          CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
-         CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null')), 1, 13) AS UBIGINT) AS DOUBLE) / 4503599627370496.0 AS u
+         CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), 'null:' || digest)), 1, 13) AS UBIGINT) AS DOUBLE) / 4503599627370496.0 AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,

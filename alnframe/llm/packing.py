@@ -1,9 +1,9 @@
 """Best-fit packing under conflicts.
 
 Documents are dealt by hash into groups of a bounded number of words, each packed in one task by best fit decreasing:
-bins are kept in order of their residual room, each with a bitmap of the sources and one of the duplicate clusters in
-it; the search starts at the first bin with room enough and goes on to its successors until one has neither the
-document's source nor its cluster, which is then the tightest compatible bin.
+bins are kept in order of their residual room, apart by the bitmap of the sources in them, each with a bitmap of the
+duplicate clusters in it; the search starts at the first bin with room enough and goes on to its successors until one
+has neither the document's source nor its cluster, which is then the tightest compatible bin.
 """
 
 from __future__ import annotations
@@ -31,34 +31,41 @@ def duplicate_cluster(text: Column) -> Column:
 
 
 class Bins:
-    """Open bins by residual room."""
+    """Open bins by residual room, apart for each set of sources: bins of sets that hold a piece's source are passed
+    over all at once, so a source that all bins have costs nothing."""
 
     def __init__(self):
-        self.order: list[tuple[int, int]] = []  # (room left, bin)
+        self.open: dict[int, list[tuple[int, int]]] = {}  # sources: (room left, bin) in order
         self.filled: list[int] = []
-        self.sources: list[int] = []
         self.clusters: list[int] = []
 
     def put(self, size: int, source: int, cluster: int, capacity: int) -> tuple[int, int]:
         """Bin and offset of a piece; source and cluster are bits, 0 for none."""
-        at = bisect_left(self.order, (size, -1))
-        while at < len(self.order):
-            b = self.order[at][1]
-            if not (self.sources[b] & source or self.clusters[b] & cluster):
-                del self.order[at]
-                break
-            at += 1
-        else:
-            b = len(self.filled)
+        best = None
+        for sources, order in self.open.items():
+            if sources & source:
+                continue
+            at = bisect_left(order, (size, -1))
+            while at < len(order) and (best is None or order[at] < best[0]):
+                if not self.clusters[order[at][1]] & cluster:
+                    best = order[at], sources
+                    break
+                at += 1
+        if best is None:
+            b, sources = len(self.filled), 0
             self.filled.append(0)
-            self.sources.append(0)
             self.clusters.append(0)
+        else:
+            (_, b), sources = best
+            order = self.open[sources]
+            del order[bisect_left(order, best[0])]
+            if not order:
+                del self.open[sources]
         offset = self.filled[b]
         self.filled[b] += size
-        self.sources[b] |= source
         self.clusters[b] |= cluster
         if self.filled[b] < capacity:
-            insort(self.order, (capacity - self.filled[b], b))
+            insort(self.open.setdefault(sources | source, []), (capacity - self.filled[b], b))
         return b, offset
 
 
@@ -71,13 +78,15 @@ def pack(docs: DataFrame, size: Column | None = None, cluster: Column | None = N
     """
     size = n_words(F.col("text")) if size is None else size
     cluster = duplicate_cluster(F.col("text")) if cluster is None else cluster
-    rows = cut_lineage(docs.select("doc_id", "source", cluster.alias("cluster"), size.cast("long").alias("size")).filter("size > 0"))
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    # rows alike in all of this are one with a count, and numbered, so that no group gets all of them
+    rows = cut_lineage(docs.select("doc_id", "source", cluster.alias("cluster"), size.cast("long").alias("size")).filter("size > 0")
+                       .groupBy("doc_id", "source", "cluster", "size").agg(F.count("*").alias("times")))
+    total = rows.agg(F.sum(F.col("size") * F.col("times"))).first()[0] or 0
     groups = max(1, math.ceil(total / (GROUP_BINS * capacity)))
     # the full pieces of a long document come first in their group and find no open bin with so much room
-    pieces = (rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(size - 1) div {capacity}"))))
+    pieces = (rows.withColumn("time", F.explode(F.expr("sequence(1L, times)"))).withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(size - 1) div {capacity}"))))
               .withColumn("size", F.least(F.lit(capacity), F.col("size") - F.col("piece") * capacity))
-              .withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "piece"), F.lit(groups))))
+              .withColumn("group", F.pmod(F.xxhash64("doc_id", "cluster", "piece", F.when(F.col("time") > 1, F.col("time"))), F.lit(groups))))
 
     def packed(group: pa.Table) -> pa.Table:
         order = sorted(group.to_pylist(), key=lambda r: (-r["size"], r["doc_id"] is None, r["doc_id"] or 0, r["cluster"], r["source"] or "", r["piece"]))

@@ -149,9 +149,9 @@ def spans_text(spans: Column) -> Column:
 def redacted(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret replaced; spans that overlap are replaced together. Texts without any stay as they
     are, null stays null."""
-    found = secret_spans(docs.select(*[F.col(c) for c in docs.columns if c not in ("base", "spans", "_found")], F.struct(*docs.columns).alias("_row")), text)
+    found = secret_spans(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")))
     zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-    source = F.col(text)
+    source = F.col("text")
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.when(s["start"] >= acc["at"], F.concat(F.substring(source, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int")), F.lit(by))).otherwise("")
@@ -161,5 +161,5 @@ def redacted(docs: DataFrame, text: str = "text", by: str = "[SECRET]") -> DataF
         joined = F.aggregate(spans, zero, step, lambda acc: F.concat(acc["out"], F.substring(source, acc["at"].cast("int") + 1, F.length(source))))
         return F.when(F.size(spans) > 0, joined).otherwise(source)
 
-    done = found.withColumn("_clean", let(F.col("spans"), clean))
-    return done.select(*[F.col("_clean").alias(c) if c == text else F.col("_row")[c].alias(c) for c in docs.columns])
+    done = found.withColumn("clean", let(F.col("spans"), clean))
+    return done.select(*[F.col("clean").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns])

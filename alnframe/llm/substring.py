@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .words import exchanged, per_batch, word_hashes
+from .words import exchanged, fresh, per_batch, word_hashes
 
 CUT, REPEAT = 14, 20
 _GEAR = np.uint64(0x9FB21C651E98DF25)
@@ -118,19 +118,20 @@ def repeats(docs: DataFrame, text: str = "text", least: int = REPEAT) -> DataFra
 
 def without_repeats(docs: DataFrame, text: str = "text", least: int = REPEAT) -> DataFrame:
     """``docs`` with the removable runs taken out of the text; other texts stay as they are to the character."""
-    runs = (repeats(docs, text, least).filter("removable").groupBy(F.col("doc_id").alias("_id"))
-            .agg(F.collect_list(F.struct("start", "end")).alias("_runs")))  # the runs of one document
-    joined = docs.join(runs, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    id_, own_runs = fresh(docs, "_id"), fresh(docs, "_runs")
+    runs = (repeats(docs, text, least).filter("removable").groupBy(F.col("doc_id").alias(id_))
+            .agg(F.collect_list(F.struct("start", "end")).alias(own_runs)))  # the runs of one document
+    joined = docs.join(runs, F.col("doc_id") == F.col(id_), "left").drop(id_)
 
     def make() -> Callable:
         def step(cols: dict) -> dict:
             texts = []
-            for t, own in zip(cols[text], cols["_runs"], strict=True):
+            for t, own in zip(cols[text], cols[own_runs], strict=True):
                 if t is not None and own:
                     gone = {i for r in own for i in range(r["start"], r["end"])}
                     t = b" ".join(w for i, w in enumerate(t.encode().split()) if i not in gone).decode()
                 texts.append(t)
-            return {c: v for c, v in cols.items() if c != "_runs"} | {text: texts}
+            return {c: v for c, v in cols.items() if c != own_runs} | {text: texts}
 
         return step
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .words import exchanged
+from .words import exchanged, fresh
 
 #: (verdict, host, path)
 Rule = tuple[str, str, str]
@@ -76,8 +76,9 @@ def judge(pages: DataFrame, rules: list[Rule], edges: DataFrame | None = None, u
     _, said = fitting_rule(*spot, rules)
     by = (member.withColumn("said", said).groupBy("component")
           .agg(F.max(F.when(F.col("said") == "allow", 2).when(F.col("said") == "block", 1).otherwise(0)).alias("_said")).filter("_said > 0"))
-    alias = exchanged(member.join(exchanged(by), "component").select(F.col("node").alias("_key"), "_said"))
+    key, said = fresh(pages, "_key"), fresh(pages, "_said")
+    alias = exchanged(member.join(exchanged(by), "component").select(F.col("node").alias(key), F.col("_said").alias(said)))
     settled = pages.filter("verdict IS NOT NULL OR host = ''")
-    open_ = pages.filter("verdict IS NULL AND host <> ''").withColumn("_key", page_key(F.col(url))).join(alias, "_key", "left")
-    open_ = open_.withColumn("verdict", F.when(F.col("_said") == 2, "allow").when(F.col("_said") == 1, "block")).drop("_key", "_said")
+    open_ = pages.filter("verdict IS NULL AND host <> ''").withColumn(key, page_key(F.col(url))).join(alias, key, "left")
+    open_ = open_.withColumn("verdict", F.when(F.col(said) == 2, "allow").when(F.col(said) == 1, "block")).drop(key, said)
     return settled.unionByName(open_).withColumn("verdict", F.coalesce("verdict", F.lit(default)))

@@ -48,6 +48,14 @@ def word_hashes() -> Callable[[list[bytes]], np.ndarray]:
     return hashes
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or with lines after it, so that ``df`` has no such column (names are alike in either case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kept_in_worker(key: tuple, make: Callable):
     """What ``make`` returns, made once in a Python worker and shared by its tasks. Functions of this package travel by
     value, so it is kept in a module of its own that is made in the worker."""

@@ -4,7 +4,8 @@ import random
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names operators use themselves.
-CLASHING = ["node", "digest", "size", "copies", "target", "kept", "score", "spans", "value", "start", "rank", "key", "n"]
+CLASHING = ["node", "digest", "size", "copies", "target", "kept", "score", "spans", "value", "start", "rank", "key", "n", "row", "of",
+            "_id", "_node", "_runs", "_key", "_said", "_source", "_copy", "_blank", "_row", "_clean", "_lower", "_digest"]
 
 
 def prose(n: int, seed: int) -> str:

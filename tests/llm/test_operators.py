@@ -5,6 +5,7 @@ import itertools
 import math
 import random
 import re
+import time
 import tracemalloc
 import zlib
 
@@ -17,6 +18,7 @@ from tokenizers import Tokenizer
 
 from alnframe.llm import binary, langid, mixing, ominhash, packing, quality, queries, secrets, substring, topk, urls
 from alnframe.llm.components import components
+from alnframe.llm.words import n_words
 from alnframe.session import shared_dir
 
 from .cases import hard, prose
@@ -284,6 +286,41 @@ def test_targets_stop_at_three_times(spark):
     assert all(abs(got[k].target - t) < 1e-6 for k, t in target.items())
 
 
+def test_a_hot_source_is_packed_quickly(spark):
+    rows = spark.range(60_000).select(F.col("id").alias("doc_id"), F.lit("one").alias("source"), F.concat(F.lit("w"), F.col("id").cast("string")).alias("text"))
+    began = time.time()
+    assert packing.pack(rows).agg(F.count_distinct("bin_id")).first()[0] == 60_000
+    assert time.time() - began < 60
+
+
+def test_bins_equal_a_plain_search():
+    rng = random.Random(5)
+    for _ in range(40):
+        bins, plain, capacity = packing.Bins(), [], 40
+        for _ in range(300):
+            size, source, cluster = rng.randint(1, 25), rng.choice([0, 1, 1, 1, 2, 4, 8]), rng.choice([0, 0, 1, 2, 4])
+            fits = [(capacity - f, b) for b, (f, s, c) in enumerate(plain) if capacity > f and capacity - f >= size and not s & source and not c & cluster]
+            b = min(fits)[1] if fits else len(plain)
+            if not fits:
+                plain.append([0, 0, 0])
+            assert bins.put(size, source, cluster, capacity) == (b, plain[b][0])
+            plain[b] = [plain[b][0] + size, plain[b][1] | source, plain[b][2] | cluster]
+
+
+def test_rows_alike_are_spread_over_groups(spark):
+    rows = spark.range(3000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("source"), F.lit("same text " * 300).alias("text"))
+    got = packing.pack(rows)
+    assert got.count() == 3000 and got.select(F.floor(F.col("bin_id") / 2**31)).distinct().count() > 3
+
+
+def test_mix_of_rows_without_ids(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("doc_id", F.lit(None).cast("long"))
+    got = mixing.mix(docs, n_words(F.col("text"))).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target"), F.max("size").alias("largest"))
+    rows = got.collect()
+    assert abs(sum(r.taken for r in rows) / sum(r.target for r in rows) - 1) < 0.1
+    assert all(abs(r.taken - r.target) < 0.25 * r.target + 2 * r.largest for r in rows)
+
+
 def test_mix_comes_near_targets(spark):
     rows = queries.op6_mixing(spark, "/root/testdata/sf0.1").collect()
     taken, target = {}, {}
