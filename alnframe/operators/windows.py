@@ -52,7 +52,7 @@ def key_filter(hashes: DataFrame, n: int, h: str = "h", max_blocks: int = MAX_BL
     blocks = 1
     while blocks < max_blocks and blocks * _WORDS * 64 < 16 * n:
         blocks *= 2
-    bits = hashes.select(_block(F.col(h), blocks).alias("block"), F.inline(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _bloom_bits(F.col(h))])))
+    bits = hashes.select(key_block(F.col(h), blocks).alias("block"), F.inline(F.array(*[F.struct(w.alias("w"), b.alias("b")) for w, b in _bloom_bits(F.col(h))])))
     # one shift for each value of b: the shift's distance has to be a constant
     word = F.lit(0).cast("long")
     for b in range(64):
@@ -61,7 +61,8 @@ def key_filter(hashes: DataFrame, n: int, h: str = "h", max_blocks: int = MAX_BL
     return words.select("block", F.transform(F.sequence(F.lit(0), F.lit(_WORDS - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("long"))).alias("words")), blocks
 
 
-def _block(h: Column, blocks: int) -> Column:
+def key_block(h: Column, blocks: int) -> Column:
+    """The block of a key filter in which a hash has its bits."""
     return F.pmod(F.xxhash64(h), F.lit(blocks)).cast("int")
 
 
@@ -99,7 +100,7 @@ def mark_duplicates(reads: DataFrame, key: str = "read_id", library: Column | No
     repeated = cut_lineage(r.filter("_eligible").groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("_h").alias("h")))
     blocks, n_blocks = key_filter(repeated, repeated.count())
     # as long as its blocks, 64 MB at most
-    r = r.join(F.broadcast(blocks.withColumnsRenamed({"block": "_block", "words": "_words"})), _block(F.col("_h"), n_blocks) == F.col("_block"), "left")
+    r = r.join(F.broadcast(blocks.withColumnsRenamed({"block": "_block", "words": "_words"})), key_block(F.col("_h"), n_blocks) == F.col("_block"), "left")
     r = r.withColumn("_meets", F.col("_eligible") & may_hold(F.col("_words"), F.col("_h"))).drop("_block", "_words", "_h")
     meeting = r.filter("_meets")
     scored = meeting.select(*DUP_KEY, key, "read_name", duplicate_score("qual").alias("_score"))
