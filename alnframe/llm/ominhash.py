@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.windows import key_block, key_filter, may_hold
 from ..session import cut_lineage, shared_dir
 from .components import components
 from .words import WORD, exchanged, mixed, per_batch, shingles, word_hashes
@@ -177,13 +178,15 @@ def candidate_pairs(nodes: DataFrame, least: float = LEAST) -> DataFrame:
     i, s = F.sequence(F.lit(0), F.lit(TABLES - 1)), F.col("sketch")
     coarse = F.transform(i, lambda t: F.xxhash64(t, F.get(s, t)))
     fine = F.transform(i, lambda t: F.xxhash64(t + TABLES, F.get(s, t), F.get(s, (t + 1) % TABLES)))
-    keys = nodes.select(F.struct("node", "size").alias("x"), F.explode(F.concat(coarse, fine)).alias("key"))
-    ends = keys.groupBy("key").agg(F.min("x").alias("low"), F.max("x").alias("high")).filter("low < high")
+    keys = nodes.select("node", F.explode(F.concat(coarse, fine)).alias("key"))
+    ends = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
     met = keys.join(exchanged(ends), "key")
-    pairs = met.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("x").alias("b")),
-                                         F.struct(F.col("x").alias("a"), F.col("high").alias("b")))).alias("p")).select("p.a", "p.b")
-    alike = F.least("a.size", "b.size") >= least * F.greatest("a.size", "b.size") - 1e-6
-    return pairs.filter((F.col("a.node") < F.col("b.node")) & alike).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    pairs = met.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
+                                         F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")).select("p.a", "p.b")
+    pairs = pairs.filter("a < b").distinct()
+    a, b = (nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}")) for c in "ab")
+    alike = F.least("size_a", "size_b") >= least * F.greatest("size_a", "size_b") - 1e-6
+    return pairs.join(a, "a").join(b, "b").filter(alike).select("a", "b")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, least: float = LEAST) -> DataFrame:
@@ -282,13 +285,23 @@ def similar_pairs(texts: DataFrame, least: float = LEAST) -> DataFrame:
     folder = shared_dir(texts.sparkSession, "prefixes")
     per_batch(texts, "shingle long, node long, component long, size long, left long", make).write.parquet(folder)
     prefix = texts.sparkSession.read.parquet(folder)
-    x, y = (exchanged(prefix.select("shingle", *[F.col(c).alias(f"{c}_{e}") for c in ("node", "component", "size", "left")])) for e in "ab")
+    x, y = (prefix.select("shingle", *[F.col(c).alias(f"{c}_{e}") for c in ("node", "component", "size", "left")]) for e in "ab")
     most = F.least("left_a", "left_b")  # shingles that both can share from here on
     return (x.join(y, "shingle").filter("node_a < node_b AND component_a <> component_b")
             .filter(most * (1 + least) >= least * (F.col("size_a") + F.col("size_b")) - 1e-6)
             .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
 
 
+def among(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of ``nodes``, and few others, found where they are by a broadcast key filter of bounded size; what meets
+    the nodes after that shuffles no others."""
+    known = nodes.select(F.xxhash64("node").alias("h")).distinct()
+    blocks, n = key_filter(known, known.count())
+    here = rows.withColumn("h", F.xxhash64("node"))
+    held = here.join(F.broadcast(blocks.withColumnRenamed("block", "of")), key_block(F.col("h"), n) == F.col("of"), "left")
+    return held.filter(may_hold(F.col("words"), F.col("h"))).select(*rows.columns)
+
+
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, class_id, n_links): a row for each row of ``docs``.
 
@@ -312,11 +325,11 @@ def _classes(docs: DataFrame, text: str) -> DataFrame:
 
     def checked(pairs: DataFrame) -> DataFrame:
         involved = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        return cut_lineage(verified(pairs, texts.join(exchanged(involved), "node", "left_semi")).distinct())
+        return cut_lineage(verified(pairs, among(texts, involved)).distinct())
 
     links = checked(pairs)
     rest = cut_lineage(unjoined(nodes.select("node", "sketch"), components(links, "a", "b")))
-    further = cut_lineage(similar_pairs(texts.join(exchanged(rest), "node")))
+    further = cut_lineage(similar_pairs(among(texts, rest).join(exchanged(rest), "node")))
     links = cut_lineage(links.union(checked(further)).distinct())
     own = some.select("node", "digest").join(exchanged(nodes.select("digest", F.col("node").alias("rep"))), "digest").select("node", "rep")
     # copies meet at their representative; links connect representatives
