@@ -13,6 +13,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -185,7 +186,7 @@ class Aligner:
         where the joined bytes of a side differ from the text's."""
         for at in range(0, len(texts), 50):
             some = [self._cut(t) if t else [] for t in texts[at : at + 50]]
-            distinct = dict.fromkeys(u for units in some for u in units)
+            distinct = dict.fromkeys(chain.from_iterable(some))
             new = [u for u in distinct if u not in self.known]
             if len(self.known) + len(new) > _REMEMBERED:
                 self.known.clear()

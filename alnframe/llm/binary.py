@@ -14,6 +14,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -133,7 +134,7 @@ class Encoder:
                 plain.append((w, self.cut(text.lower())))
             else:
                 others.append((w, text))
-        distinct = dict.fromkeys(p for _, pieces in plain for p in pieces)
+        distinct = dict.fromkeys(chain.from_iterable(pieces for _, pieces in plain))
         new = [p for p in distinct if p not in self.pieces]
         if len(self.pieces) + len(new) > _REMEMBERED:
             self.pieces.clear()
@@ -155,7 +156,7 @@ class Encoder:
         if not self.apart:
             return [x.tobytes() for x in self._encode(texts)]
         words = [t.encode().split() for t in texts]
-        distinct = dict.fromkeys(w for own in words for w in own)
+        distinct = dict.fromkeys(chain.from_iterable(words))
         new = [w for w in distinct if w not in self.words]
         if len(self.words) + len(new) > _REMEMBERED:
             self.words.clear()
