@@ -242,7 +242,7 @@ def shingle_counts(texts: DataFrame) -> np.ndarray:
             for t in cols["text"]:
                 n[(np.unique(shingles(hashes(t.split()), K)) % np.uint64(BUCKETS)).astype(np.int64)] += 1
             known = np.flatnonzero(n)
-            out = {"bucket": known.tolist(), "n": n[known].tolist()}
+            out = {"bucket": known.astype(np.int32), "n": n[known]}
             n[known] = 0
             return out
 
@@ -268,17 +268,18 @@ def similar_pairs(texts: DataFrame, least: float = LEAST) -> DataFrame:
         hashes = word_hashes()
 
         def step(cols: dict) -> dict:
-            out: dict = {"shingle": [], "node": [], "component": [], "size": [], "left": []}
+            rows, shingle, left = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for node, component, t in zip(cols["node"], cols["component"], cols["text"], strict=True):
                 own = np.unique(shingles(hashes(t.split()), K))
                 n = counts[(own % np.uint64(BUCKETS)).astype(np.int64)]
                 first = np.lexsort((own, n))[: int((1 - least) * len(own) + 1e-6) + 1]
                 at = np.flatnonzero(n[first] > 1)  # a class of one text holds no shingle that two share
-                out["shingle"].extend(own[first[at]].view(np.int64).tolist())
-                out["left"].extend((len(own) - at).tolist())
-                for c, value in (("node", node), ("component", component), ("size", len(own))):
-                    out[c].extend([value] * len(at))
-            return out
+                shingle.append(own[first[at]].view(np.int64))
+                left.append(len(own) - at)
+                rows.append((node, component, len(own), len(at)))
+            node, component, size, times = np.array(rows, np.int64).reshape(-1, 4).T
+            return {"shingle": np.concatenate(shingle), "left": np.concatenate(left),
+                    "node": np.repeat(node, times), "component": np.repeat(component, times), "size": np.repeat(size, times)}
 
         return step
 
