@@ -23,20 +23,21 @@ def _reads(spark, order):
     return spark.createDataFrame(rows, READS).repartitionByRange(3, "record").sortWithinPartitions("record")
 
 
-BLOCKS = [F.substring("record", 1, 3), F.substring("record", 1, 2)]
+def blocks():
+    return [F.substring("record", 1, 3), F.substring("record", 1, 2)]
 
 
 def test_presorted_write_and_header(spark):
     path = shared_dir(spark, "t")
     order = [("b", 0, 5), ("a", 0, 5), ("c", 0, 9), *[("d", 1, k) for k in range(30)], ("z", -1, 0)]
     header = {"sequences": A.sequences(spark), "programs": spark.createDataFrame([("p", 1)], "id string, ord int")}
-    OR.write_presorted(_reads(spark, order), path, header, "coordinate", "record", BLOCKS)
+    OR.write_presorted(_reads(spark, order), path, header, "coordinate", "record", blocks())
     back = spark.read.parquet(path)
     assert back.count() == len(order) and "bin" in back.columns and {r.ref_index for r in back.select("ref_index").distinct().collect()} == {0, 1, -1}
     got = OR.read_stored_header(spark, path)
     assert set(got) == {"hd", "sequences", "programs"} and got["hd"].first().sort_order == "coordinate" and got["sequences"].count() == 25
     with pytest.raises(ValueError):
-        OR.write_presorted(_reads(spark, order), path, {"genes": header["programs"]}, "unsorted", "record", BLOCKS)
+        OR.write_presorted(_reads(spark, order), path, {"genes": header["programs"]}, "unsorted", "record", blocks())
 
 
 @pytest.mark.parametrize("order,rows,first", [
@@ -47,21 +48,21 @@ def test_presorted_write_and_header(spark):
 def test_unsorted_reads_are_refused(spark, order, rows, first):
     path = shared_dir(spark, "t")
     with pytest.raises(OR.OutOfOrder) as refused:
-        OR.write_presorted(_reads(spark, rows), path, {}, order, "record", BLOCKS)
+        OR.write_presorted(_reads(spark, rows), path, {}, order, "record", blocks())
     assert refused.value.row.record == f"{int(first[1:]):04d}"
     local = path.removeprefix("file:")
     assert not os.path.exists(local)
-    OR.write_presorted(_reads(spark, rows), path, {}, "unsorted", "record", BLOCKS)
+    OR.write_presorted(_reads(spark, rows), path, {}, "unsorted", "record", blocks())
     assert spark.read.parquet(path).count() == len(rows)
 
 
 def test_first_records(spark):
     reads = spark.range(0, 3000, numPartitions=5).select(F.lpad(F.col("id").cast("string"), 5, "0").alias("k"), "id")
-    blocks = [F.substring("k", 1, 4), F.substring("k", 1, 2)]
+    by = [F.substring("k", 1, 4), F.substring("k", 1, 2)]
     for n in (0, 1, 10, 11, 1499, 2990, 2999, 3000, 5000):
-        got = SAM.first_records(reads, n, "k", blocks)
+        got = SAM.first_records(reads, n, "k", by)
         assert sorted(r.id for r in got.collect()) == list(range(min(n, 3000)))
-    assert SAM.first_records(reads.limit(0), 5, "k", blocks).count() == 0
+    assert SAM.first_records(reads.limit(0), 5, "k", by).count() == 0
 
 
 def test_map_reads_keeps_state_and_checks_the_schema(spark):
@@ -108,6 +109,17 @@ def test_pipeline_scans_the_reads_three_times(spark):
 
     plain = A.reads(spark, SF_SMALL).drop("tags").withColumn("pos", (1 + F.col("pos") % 2000).cast("int"))
     reads = plain.mapInArrow(counted, plain.schema).withColumn("tags", F.expr("CAST(NULL AS MAP<STRING, STRUCT<type: STRING, s: STRING, i: BIGINT, f: FLOAT, bytes: BINARY, ia: ARRAY<BIGINT>, fa: ARRAY<FLOAT>, atype: STRING>>)"))
-    out = PL.call_variants(reads, A.sequences(spark), A.targets(spark, SF_SMALL), A.reference_chunks(spark, chunk=4096), A.known_sites(spark, SF_SMALL), chunk=4096)
+    targets = spark.createDataFrame([(k, 1, 3000) for k in range(25)], "ref_index int, s int, e int")
+    out = PL.call_variants(reads, A.sequences(spark), targets, A.reference_chunks(spark, chunk=4096), A.known_sites(spark, SF_SMALL), min_qual=1, chunk=4096)
     assert out["calls"].count() > 0 and out["recal"].count() > 0
     assert passed.value <= 3 * plain.count()
+
+
+def test_unsorted_writing_keeps_the_order_given(spark):
+    reads = spark.createDataFrame([(f"r{(i * 37) % 60:02d}", 4, "*", 0, 0, "*", "*", 0, 0, "ACGT", "IIII") for i in range(60)],
+                                  "read_name string, flag int, ref_name string, pos int, mapq int, cigar string, mate_ref_name string, mate_pos int, isize int, seq string, qual string")
+    path = shared_dir(spark, "unsorted")
+    SAM.write_sam(reads.withColumn("read_id", F.col("read_name")), path, A.sequences(spark), order="unsorted")
+    lines = [r.value for r in spark.read.text(path).select("value", "_metadata.file_name", F.monotonically_increasing_id().alias("k")).orderBy("file_name", "k").collect()]
+    assert lines[0].startswith("@HD") and lines[0].endswith("SO:unsorted")
+    assert [x.split("\t")[0] for x in lines if not x.startswith("@")] == [r.read_name for r in reads.collect()]
