@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Distinct words a task remembers before it starts afresh; bounds its memory, not its result.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 def n_words(text: Column) -> Column:
