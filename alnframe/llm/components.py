@@ -23,7 +23,8 @@ def components(links: DataFrame, a: str = "u", b: str = "v") -> DataFrame:
     links = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     state = _state(links)
     while state[0]:
-        both = links.union(links.select("v", "u"))
+        # each link from either end, in as many tasks as the links have
+        both = links.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("x")).select("x.u", "x.v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # large star: every larger neighbour is linked to the least of the neighbourhood
         large = (both.join(exchanged(least), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
