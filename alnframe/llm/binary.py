@@ -85,7 +85,7 @@ def _fingerprint(keys: np.ndarray) -> np.ndarray:
 # --- encoding -------------------------------------------------------------------------------------------------------
 
 #: Words and pieces that are remembered before a worker starts afresh; bounds its memory, not its result.
-_REMEMBERED = 500_000
+_REMEMBERED = 1_000_000
 #: Pieces that are encoded at once.
 _IN_A_ROW = 300
 #: The normalizer and the pre-tokens for which words are encoded apart.
