@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from .words import per_batch, shingles, word_hashes
 
-#: Common words of a language: so many, the most frequent of those with LETTERS bytes at most.
-COMMON, LETTERS = 64, 5
+#: Common words of a language, the most frequent ones: so many have a bin of their own, all others share one.
+COMMON = 64
 #: Words from which on distances are judged, words a language needs for a reference of its own.
 GUARD, REFERENCE = 50, 20_000
 #: Limits of the distances for long texts; for a text of n words that of words is higher by ROUGH / sqrt(n), that of
@@ -66,7 +66,7 @@ class References:
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """(lang, kind, key, n): characters of each class, all words, and words short enough to be common."""
+    """(lang, kind, key, n): characters of each class, all words, and each word."""
     def make() -> Callable:
         classes = char_class()
 
@@ -80,7 +80,7 @@ def _counted(docs: DataFrame) -> DataFrame:
             for lang, (chars, words) in by.items():
                 rows += [(lang, "char", str(i).encode(), n) for i, n in enumerate(chars.tolist())]
                 rows.append((lang, "words", b"", sum(words.values())))
-                rows += [(lang, "word", w, n) for w, n in words.items() if len(w) <= LETTERS]
+                rows += [(lang, "word", w, n) for w, n in words.items()]
             return {c: [r[i] for r in rows] for i, c in enumerate(("lang", "kind", "key", "n"))}
 
         return step
@@ -91,21 +91,23 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 def references(docs: DataFrame) -> References:
     """References of all documents, and of each language with REFERENCE words or more. The driver gets some 70 numbers a
-    language; all counts are summed, and the common words chosen, by Spark."""
-    counts = _counted(docs)
-    best = Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key")
-    few = counts.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= COMMON).drop("_r").collect()
+    language; all counts are summed, and the common words of a language and of all documents chosen, by Spark from every
+    word."""
+    counts = _counted(docs).withColumn("whole", F.lit(False))
+    whole = counts.groupBy(F.lit(None).cast("string").alias("lang"), "kind", "key").agg(F.sum("n").alias("n")).withColumn("whole", F.lit(True))
+    best = Window.partitionBy("whole", "lang", "kind").orderBy(F.desc("n"), "key")
+    few = (counts.filter("lang IS NOT NULL").unionByName(whole)
+           .withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= COMMON).drop("_r").collect())
     by: dict = {}
     for r in few:
-        for lang in {r.lang, None}:
-            by.setdefault(lang, {}).setdefault(r.kind, Counter())[bytes(r.key)] += r.n
+        by.setdefault(r.lang, {}).setdefault(r.kind, Counter())[bytes(r.key)] += r.n
     out, hashes = References(), word_hashes()
     for lang, kinds in by.items():
         total = sum(kinds.get("words", {}).values())
         if total < (1 if lang is None else REFERENCE):
             continue
         chars = np.array([kinds["char"][str(i).encode()] for i in range(len(CLASSES))], float)
-        words = sorted(kinds.get("word", {}).items(), key=lambda x: (-x[1], x[0]))[:COMMON]
+        words = kinds.get("word", {}).items()
         own = hashes([w for w, _ in words])
         order = np.argsort(own)
         shares = np.array([n for _, n in words], float)[order]
