@@ -23,9 +23,9 @@ ORDER = 4
 #: Hashes of an order: it has at most so many sequences per language, whatever the corpus.
 SLOTS = 2_097_143
 #: Characters worked on at once; bounds a task's memory for texts of any length.
-CHUNK = 500_000
-#: Labelled texts, by hash order, on which the rejection is calibrated.
-CALIBRATION = 5_000
+CHUNK = 125_000
+#: One in so many labelled texts lies further above its language's usual than the limit before its margin.
+RARE = 2_000
 DISCOUNT = 0.75
 #: The least limit of the rejection, in deviations.
 LIMIT = 6.0
@@ -199,27 +199,47 @@ def fit(docs: DataFrame, discount: float = DISCOUNT) -> Model | None:
     return model
 
 
-def calibrate(model: Model, docs: DataFrame, rows: int = CALIBRATION) -> Model:
-    """Sets the usual cross-entropy of each language and the limit, by at most ``rows`` labelled texts (ties by hash all
-    taken). The limit is a quarter above what all but one in two thousand of them have, LIMIT at least."""
-    order = F.xxhash64("doc_id")
-    cut = docs.select(order.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    got = score(docs.filter(order <= F.lit(cut)), model).filter("_n > 0 AND lang = lang_pred").select("lang", "_n", "_entropy", "_variance").collect() if cut is not None else []
-    deviations = []
-    for lang in model.langs:
-        own = np.array(sorted(r[1:] for r in got if r.lang == lang), float).reshape(-1, 3)
-        if len(own) < 20:
+def calibrate(model: Model, docs: DataFrame) -> Model:
+    """Sets the usual cross-entropy of each language and the limit, by all labelled texts that the model gets right. The
+    limit is a quarter above what all but one in RARE of them have, LIMIT at least. Sums are exact, so reruns agree; the
+    driver gets five sums a language and a few thousand counts."""
+    got = cut_lineage(score(docs, model).filter("_n > 0 AND lang = lang_pred").select(
+        "lang", "_n", F.round("_entropy", 9).alias("h"), F.round("_variance", 9).alias("v")))
+    n, exact = F.col("_n").cast("decimal(12,0)"), "decimal(18,9)"
+    sums = got.groupBy("lang").agg(F.count("*").alias("rows"), F.sum("_n").alias("n"), F.sum(n * F.col("h").cast(exact)).alias("h"),
+                                   F.sum(n * F.round(F.col("h") * F.col("h"), 9).cast(exact)).alias("hh"), F.sum(n * F.col("v").cast(exact)).alias("v")).collect()
+    for r in sorted(sums, key=lambda r: r.lang):
+        if r.rows < 20:
             continue
-        n, h, v = own.T
-        mean, of_char = float(np.average(h, weights=n)), float(np.average(v, weights=n))
-        between = max(float(np.average((h - mean) ** 2 - of_char / n, weights=n)), 1e-4)
-        model.usual[lang] = mean, between, of_char
-        deviations += ((h - mean) / np.sqrt(between + of_char / n)).tolist()
-    if deviations:
-        model.limit = max(LIMIT, 1.25 * float(np.quantile(deviations, 0.9995)))
+        mean, of_char = float(r.h) / r.n, float(r.v) / r.n
+        between = max(float(r.hh) / r.n - mean * mean - of_char * r.rows / r.n, 1e-4)
+        model.usual[r.lang] = mean, between, of_char
+    if model.usual:
+        usual = F.create_map(*[x for lang, u in model.usual.items() for x in (F.lit(lang), F.struct(*[F.lit(y).alias(c) for y, c in zip(u, "mbv", strict=True)]))])
+        u = usual[F.col("lang")]
+        deviation = (F.col("h") - u["m"]) / F.sqrt(u["b"] + u["v"] / F.col("_n"))
+        rare = _from_top(got.filter(u.isNotNull()).select(F.round(deviation * 1e6).cast("long").alias("x")), RARE)
+        model.limit = max(LIMIT, 1.25 * rare / 1e6)
     return model
 
 
+def _from_top(values: DataFrame, one_in: int) -> int:
+    """The least of the integers ``x`` (below 2^62 either way) that at most one in ``one_in`` of them lie above: counts of
+    ever finer stretches, in each pass of the one that the place falls into, so no task or driver holds the values."""
+    shift, inside, above = 60, F.lit(True), None
+    while True:
+        counts = values.filter(inside).groupBy(F.shiftright("x", shift).alias("b")).agg(F.count("*").alias("n")).collect()
+        if above is None:
+            above = sum(r.n for r in counts) // one_in
+        for r in sorted(counts, key=lambda r: -r.b):
+            if r.n > above:
+                break
+            above -= r.n
+        if not shift:
+            return r.b
+        inside, shift = F.shiftright("x", shift) == r.b, max(shift - 12, 0)
+
+
 def score(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score, rejected, _n (symbols), _entropy (nats a symbol) and _variance; such columns are
     replaced.
@@ -276,5 +296,5 @@ def identify(docs: DataFrame) -> DataFrame:
     learn = training_rows(docs)
     model = fit(learn)
     if model:
-        calibrate(model, learn.select("doc_id", "lang", "text"))
+        calibrate(model, learn.select("lang", "text"))
     return score(docs, model)
