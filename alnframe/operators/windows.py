@@ -18,13 +18,10 @@ from ..session import cut_lineage
 
 
 def duplicate_score(qual) -> Column:
-    """Sum of base qualities >= 15 (FASTQ text), in one pass over the characters."""
+    """Sum of base qualities >= 15 (FASTQ text): lower ones are dropped, the rest are summed as characters."""
     q = F.col(qual) if isinstance(qual, str) else qual
-
-    def step(a, c):
-        p = F.ascii(c) - 33
-        return a + F.when(p >= S.DUP_MIN_BASE_QUAL, p).otherwise(F.lit(0)).cast("bigint")
-    return F.aggregate(F.split(q, ""), F.lit(0).cast("bigint"), step)
+    high = F.regexp_replace(q, rf"[\x00-\x{33 + S.DUP_MIN_BASE_QUAL - 1:02x}]", "")
+    return F.aggregate(F.split(high, ""), F.lit(0).cast("bigint"), lambda a, c: a + F.ascii(c)) - 33 * F.length(high).cast("bigint")
 
 
 def five_prime(flag, pos, ops) -> Column:
@@ -88,15 +85,15 @@ def mark_duplicates(reads: DataFrame, key: str = "read_id", library: Column | No
     counted hashes are checkpointed, as their number sizes the filter.
     """
     lib = library if library is not None else (F.col("library") if "library" in reads.columns else F.lit(""))
-    ops = C.parse_cigar("cigar")
+    ops = F.col("_ops")  # a column, as several lengths are taken from it
     eligible = ((F.col("flag").bitwiseAND(S.FLAG_UNMAPPED) == 0)
                 & (F.col("flag").bitwiseAND(S.FLAG_SECONDARY) == 0))
-    r = reads.withColumns({
+    r = reads.withColumn("_ops", C.parse_cigar("cigar")).withColumns({
         "library": F.coalesce(lib, F.lit("")),
         "five_prime": five_prime("flag", "pos", ops),
         "strand": (F.col("flag").bitwiseAND(S.FLAG_REVERSE) != 0),
         "_eligible": eligible,
-    }).withColumn("_h", F.xxhash64(*DUP_KEY))
+    }).drop("_ops").withColumn("_h", F.xxhash64(*DUP_KEY))
     repeated = cut_lineage(r.filter("_eligible").groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("_h").alias("h")))
     blocks, n_blocks = key_filter(repeated, repeated.count())
     # as long as its blocks, 64 MB at most
