@@ -10,6 +10,7 @@ from ..operators import filters as FL
 from ..operators import joins as JN
 from ..operators import sorts as SO
 from ..operators import windows as WN
+from ..session import cut_lineage
 from ..sources import adapter as A
 from .catalog import register
 from .oracle_views import READS, READS_X, SEQUENCES, with_views
@@ -215,7 +216,7 @@ FROM rq JOIN firsts f ON rq.partition = f.partition
 @register("region_quality_encoding", _W7_SQL)
 def region_quality_encoding(spark, sf_dir):
     reads = FL.callable_reads(A.reads(spark, sf_dir))
-    plan = AG.balance_regions(AG.reads_per_region(reads), NUM_PARTITIONS)
+    plan = JN.held(cut_lineage(AG.balance_regions(AG.reads_per_region(reads), NUM_PARTITIONS)))
     parted = JN.assign_partitions(reads, plan, repartition=False)
     return WN.region_quality_encoding(parted).select("read_id", "partition", "encoding", "quality_error")
 
