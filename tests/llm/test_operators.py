@@ -362,6 +362,21 @@ def test_components(spark):
     assert components(df.limit(0)).count() == 0
 
 
+def test_few_links_have_few_tasks(spark):
+    """A round writes files for each of its tasks: few links must not have as many as the session's shuffle partitions."""
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = components(spark.range(100).selectExpr("id AS u", "id + 1 AS v"))
+        assert {(r.node, r.component) for r in got.collect()} == {(i, 0) for i in range(101)}
+        assert got.rdd.getNumPartitions() <= 32
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 # --- token ids
 
 def test_ids_are_the_tokenizers(spark, monkeypatch):
