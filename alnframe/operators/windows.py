@@ -134,7 +134,8 @@ def check_sorted(reads: DataFrame, order_key: str, blocks: Column | list[Column]
     offending rows with their previous key."""
     levels = blocks if isinstance(blocks, list) else [blocks]
     names = [f"_blk{i}" for i in range(len(levels))]
-    rows = reads.withColumns({**dict(zip(names, levels, strict=True)), "_sk": sort_key})
+    # one exchange of the rows as they come; blocks and keys are computed behind it, for the neighbours and for the summaries
+    rows = reads.repartition(levels[0]).withColumns({**dict(zip(names, levels, strict=True)), "_sk": sort_key})
     prev = _with_previous(rows, order_key, names)
     return (prev.filter(F.col("_prev").isNotNull() & (F.col("_sk") < F.col("_prev")))
             .withColumn("previous_key", F.col("_prev")).drop(*names, "_prev"))

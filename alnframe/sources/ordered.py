@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import bins as B
 from ..functions import cigar as C
 from ..operators import windows as WN
+from .store import stored
 
 HEADER = "_header"
 #: Tables of a header; each is optional.
@@ -54,9 +55,9 @@ def write_presorted(reads: DataFrame, path: str, header: dict[str, DataFrame], o
             raise OutOfOrder(row)
     r = reads if "bin" in reads.columns else reads.withColumn("bin", B.indexing_bin("flag", "pos", C.parse_cigar("cigar")))
     if order == "coordinate":
-        r.sortWithinPartitions("ref_index", record).write.mode("overwrite").partitionBy("ref_index").parquet(path)
+        stored(r.sortWithinPartitions("ref_index", record)).partitionBy("ref_index").parquet(path)
     else:
-        (r.sortWithinPartitions(record) if order == "queryname" else r).write.mode("overwrite").parquet(path)
+        stored(r.sortWithinPartitions(record) if order == "queryname" else r).parquet(path)
     write_header(path, header, order, reads.sparkSession)
 
 
